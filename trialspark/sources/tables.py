@@ -159,3 +159,14 @@ def changed_groups(sources: Sequence[tuple[DataFrame, str]], output: DataFrame,
 def count_changes(df: DataFrame, inside: Column, run_col: str, since: Column, keys: Sequence[str] = ()) -> DataFrame:
     """Number of rows of a slice that are newer than ``since``."""
     return df.filter(inside & (F.col(run_col) > since)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_changed"))
+
+
+def small_table(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
+    """A configuration table from literals.
+
+    The rows are literals of the plan, so Spark knows that the table is small
+    and broadcasts it; a table made from Python objects has no known size.
+    """
+    fields = T.StructType.fromDDL(schema).fields
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, fields)]) for r in rows]
+    return spark.range(1).select(F.explode(F.array(*structs)).alias("_r")).select("_r.*")
