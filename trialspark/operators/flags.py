@@ -99,7 +99,7 @@ def fill_missing_checks(df: DataFrame, group: Sequence[str], flags: Sequence[str
 def fill_breakout_flags(df: DataFrame, group: Sequence[str], breakout: Sequence[str], is_entry: Column, any_flag: str = "cpifl", trait_flag: str = "chkfl") -> DataFrame:
     """A breakout without checks, inside a group that has some, uses its entries.
 
-    The trait flag of such a breakout takes the filled check flag's own value.
+    A breakout without trait flags takes the check flags the rows came with.
     """
     inner = with_group_values(df, [*group, *breakout], _in_any=_or(any_flag), _in_trait=_or(trait_flag))
     outer = with_group_values(inner, group, _out_any=_or(any_flag), _out_trait=_or(trait_flag))

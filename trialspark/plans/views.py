@@ -127,8 +127,8 @@ def beta_sql(x: str, a: str, b: str, steps: int = 4000) -> str:
     return f"({front} * asin(sqrt({x})) / {steps} / 3 * {inner})"
 
 
-def f_sf_sql(f: str, m: str, n: str) -> str:
-    return beta_sql(f"(({n}) / (({n}) + ({m}) * ({f})))", f"(({n}) / 2.0)", f"(({m}) / 2.0)")
+def f_sf_sql(f: str, m: str, n: str, steps: int = 4000) -> str:
+    return beta_sql(f"(({n}) / (({n}) + ({m}) * ({f})))", f"(({n}) / 2.0)", f"(({m}) / 2.0)", steps)
 
 
 def clamp_sql(x: str, low: float, high: float) -> str:

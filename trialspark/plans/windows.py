@@ -42,7 +42,7 @@ p AS (SELECT nation_id, breakout, entry_id, bool_or(cpifl) AND breakout < '4' AS
 f AS (SELECT *, bool_or(cpifl) OVER b AS ia, bool_or(chkfl) OVER b AS it, bool_or(cpifl) OVER g AS oa, bool_or(chkfl) OVER g AS ot FROM p
   WINDOW b AS (PARTITION BY nation_id, breakout), g AS (PARTITION BY nation_id))
 SELECT nation_id, breakout, entry_id, CASE WHEN NOT ia AND oa THEN true ELSE cpifl END AS cpifl,
-  CASE WHEN NOT it AND ot THEN CASE WHEN NOT ia AND oa THEN true ELSE cpifl END ELSE chkfl END AS chkfl FROM f""")
+  CASE WHEN NOT it AND ot THEN cpifl ELSE chkfl END AS chkfl FROM f""")
 def breakout_flag_fill(t: Tables) -> DataFrame:
     p = trial(t).groupBy("nation_id", "breakout", "entry_id").agg(
         (F.bool_or("cpifl") & (F.col("breakout") < "4")).alias("cpifl"),
