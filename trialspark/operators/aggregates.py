@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trialspark.operators.keyed import group_ranks, null_safe_join, running_totals, with_group_values
+from trialspark.operators.keyed import attach_row, group_ranks, null_safe_join, running_totals, with_group_values
 
 
 # --- aggregate expressions ---------------------------------------------------
@@ -199,10 +199,9 @@ def resampled_distance_threshold(df: DataFrame, value: str, low: float, high: fl
     follows the smaller of the Sturges and Freedman-Diaconis widths.
     """
     inside = df.filter(F.col(value).between(low, high))
-    spread = percentiles(inside, [], value, {"q1": 0.25, "q3": 0.75}).crossJoin(
-        inside.agg(F.count(F.lit(1)).alias("n"), (F.max(value) - F.min(value)).alias("range"))
-    ).first()
-    if not spread["n"]:
+    size = inside.agg(F.count(F.lit(1)).alias("n"), (F.max(value) - F.min(value)).alias("range"))
+    spread = attach_row(percentiles(inside, [], value, {"q1": 0.25, "q3": 0.75}), size).first()
+    if spread is None or not spread["n"]:
         raise ValueError(f"no values of {value} between {low} and {high}")
     sturges = spread["range"] / (math.log2(spread["n"]) + 1)
     diaconis = 2 * (spread["q3"] - spread["q1"]) / spread["n"] ** (1 / 3)
@@ -213,14 +212,14 @@ def resampled_distance_threshold(df: DataFrame, value: str, low: float, high: fl
     shares = with_group_values(counts, [], total=F.sum("n")).withColumn("share", F.col("n") / F.col("total"))
     below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     edges = shares.select("bin", "share", F.sum("share").over(below).alias("upto")).withColumn("from", F.col("upto") - F.col("share"))
-    packed = F.broadcast(edges.agg(F.array_sort(F.collect_list(F.struct("upto", "bin", "share"))).alias("edges")))
+    packed = edges.agg(F.array_sort(F.collect_list(F.struct("upto", "bin", "share"))).alias("edges"))
 
     spark = df.sparkSession
     draws = spark.range(0, repeats * samples).select(
         (F.col("id") / samples).cast("bigint").alias("repeat"),
         ((F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 52)) + 0.5) / F.lit(float(1 << 52))).alias("u"),
     )
-    drawn = draws.join(packed).select(
+    drawn = attach_row(draws, packed).select(
         "repeat",
         F.coalesce(
             F.element_at(F.filter("edges", lambda e: e["upto"] >= F.col("u")), 1)["bin"],

@@ -14,13 +14,18 @@ from pyspark.sql import functions as F
 
 from trialspark.operators.aggregates import percentiles
 from trialspark.operators.headtohead import welch_one_sided
-from trialspark.operators.keyed import group_ranks, null_safe_join, running_totals, with_group_values
+from trialspark.operators.keyed import attach_row, group_ranks, null_safe_join, running_totals, with_group_values
 
 
 def _usable(df: DataFrame, score: str, label: str) -> DataFrame:
     return df.filter(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isNotNull())
 
 
+def _beside(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join two tables on their group keys; without keys the right one has a single row."""
+    return null_safe_join(left, right, keys) if keys else attach_row(left, right)
+
+
 def _curve(df: DataFrame, keys: Sequence[str], score: str, label: str, descending: bool = True) -> DataFrame:
     """Cells per score with running positives and rows, and group totals."""
     hit = F.col(label).cast("int")
@@ -32,8 +37,7 @@ def area_under_precision_recall(df: DataFrame, keys: Sequence[str], score: str,
     """Trapezoid area under the precision-recall points, for each class as the positive one.
 
     The curve starts at recall 0 with precision 1. The negative class is scored
-    by the reversed order. A group without positives has recall fixed at 1 and
-    area 0... (its curve never moves); it is reported as null.
+    by the reversed order. A group without positives has no curve and reads null.
     """
     out = None
     for suffix, reverse in (("adv", False), ("notadv", True)):
@@ -44,7 +48,7 @@ def area_under_precision_recall(df: DataFrame, keys: Sequence[str], score: str,
         previous = F.when(before_n == 0, F.lit(1.0)).otherwise(before_pos / F.nullif(before_n, F.lit(0)))
         area = F.sum(F.col("pos") / F.nullif("all_pos", F.lit(0)) * (precision + previous) / 2)
         part = c.groupBy(*keys).agg(area.alias(f"{name}_{suffix}"))
-        out = part if out is None else null_safe_join(out, part, keys, "full") if keys else out.crossJoin(part)
+        out = part if out is None else _beside(out, part, keys)
     return out
 
 
@@ -120,7 +124,7 @@ def bottom_shares(df: DataFrame, keys: Sequence[str], score: str, label: str, st
         aggregates.append((F.sum(inside * F.col("pos") / F.col("n")) / F.nullif(F.max("all_pos"), F.lit(0))).alias(f"perc_adv_in_bottom_{s}perc"))
     shares = c.groupBy(*keys).agg(*aggregates)
     raw = percentiles(_usable(df, score, label), keys, score, {f"raw_thresh_{s}perc": s / 100 for s in steps})
-    return null_safe_join(shares, raw, keys) if keys else shares.crossJoin(raw)
+    return _beside(shares, raw, keys)
 
 
 def classifier_metrics(df: DataFrame, keys: Sequence[str], score: str, label: str, threshold: float = 0.5) -> DataFrame:
@@ -143,7 +147,7 @@ def classifier_metrics(df: DataFrame, keys: Sequence[str], score: str, label: st
         (tp / F.nullif(fn + tp, F.lit(0))).alias("tp_rate"),
     )
     area = roc_area(df, keys, score, label)
-    return null_safe_join(out, area, keys) if keys else out.crossJoin(area)
+    return _beside(out, area, keys)
 
 
 def future_rates(df: DataFrame, keys: Sequence[str], score: str, advanced: str, again: str, step: int = 20, split: float = 0.85) -> DataFrame:
@@ -155,8 +159,7 @@ def future_rates(df: DataFrame, keys: Sequence[str], score: str, advanced: str,
     edges = list(range(0, 101, step))
     cuts = percentiles(adv, keys, score, {f"_c{e}": e / 100 for e in edges})
     whole = percentiles(df, keys, score, {"_split": split})
-    limits = null_safe_join(cuts, whole, keys) if keys else cuts.crossJoin(whole)
-    placed = null_safe_join(adv, limits, keys) if keys else adv.join(F.broadcast(limits))
+    placed = _beside(adv, _beside(cuts, whole, keys), keys)
     parts = {f"{a}P-{b}P": (F.col(score) > F.col(f"_c{a}")) & (F.col(score) <= F.col(f"_c{b}")) for a, b in zip(edges, edges[1:])}
     parts |= {"high": F.col(score) > F.col("_split"), "low": F.col(score) <= F.col("_split")}
     aggregates = []

@@ -46,6 +46,11 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(other, on, how).drop(*[f"__r_{k}" for k in keys])
 
 
+def attach_row(df: DataFrame, row: DataFrame) -> DataFrame:
+    """Put the columns of a one-row table beside every row."""
+    return df.withColumn("_one", F.lit(1)).join(F.broadcast(row.withColumn("_one", F.lit(1))), "_one").drop("_one")
+
+
 def with_group_values(df: DataFrame, keys: Sequence[str], **values: Column) -> DataFrame:
     """Attach aggregates of the row's group; values are aggregate expressions."""
     if not keys:

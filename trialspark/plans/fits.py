@@ -122,8 +122,8 @@ def linear_effect_removed(t: Tables) -> DataFrame:
 @plan("G11", """
 WITH x AS (SELECT CAST(p_size AS DOUBLE) AS x, CAST(p_retailprice > 950 AS DOUBLE) AS y FROM part),
 b AS (SELECT min(x) * 0.9 AS lo, max(x) * 1.1 AS hi FROM x),
-c AS (SELECT i, lo + (hi - lo) * i / 249 AS at FROM b, range(250) r(i)),
-k AS (SELECT i, at, sum(y * exp(-0.5 * power((x - at) / 2, 2))) / sum(exp(-0.5 * power((x - at) / 2, 2))) AS rate FROM c, x GROUP BY ALL),
+c AS (SELECT i, lo + (hi - lo) * i / 249 AS ctr FROM b, range(250) r(i)),
+k AS (SELECT i, ctr, sum(y * exp(-0.5 * power((x - ctr) / 2, 2))) / sum(exp(-0.5 * power((x - ctr) / 2, 2))) AS rate FROM c, x GROUP BY ALL),
 q AS (SELECT c_custkey, c_nationkey * 2.3 AS v FROM customer),
 p AS (SELECT c_custkey, greatest(0, least(248, floor((v - lo) / ((hi - lo) / 249)))) AS i, (v - lo) / ((hi - lo) / 249) AS pos FROM q, b)
 SELECT c_custkey, round(a.rate + (z.rate - a.rate) * greatest(0, least(1, pos - p.i)), 7) AS rate FROM p JOIN k a ON a.i = p.i JOIN k z ON z.i = p.i + 1""")
