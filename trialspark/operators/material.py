@@ -194,14 +194,22 @@ def _expanded(rules: Sequence[Rule]) -> list[tuple[str, int, Column]]:
 
 
 def apply_rules(df: DataFrame, rules: Sequence[Rule], label: str, number: str, otherwise: Column | None = None) -> DataFrame:
-    """First rule that holds sets the label and its number; 0 and ``otherwise`` when none does."""
-    words = numbers = None
+    """First rule that holds sets the number; the label follows from the number.
+
+    Without a rule the number is 0 and the label ``otherwise`` (null by default).
+    The conditions are evaluated once, as one ladder.
+    """
+    ladder = None
+    by_word: dict[str, list[int]] = {}
     for word, n, test in _expanded(rules):
-        words = F.when(test, F.lit(word)) if words is None else words.when(test, F.lit(word))
-        numbers = F.when(test, F.lit(n)) if numbers is None else numbers.when(test, F.lit(n))
-    return df.withColumns(
-        {label: words.otherwise(otherwise) if otherwise is not None else words, number: numbers.otherwise(F.lit(0))}
-    )
+        ladder = F.when(test, F.lit(n)) if ladder is None else ladder.when(test, F.lit(n))
+        by_word.setdefault(word, []).append(n)
+    words = None
+    for word, numbers in by_word.items():
+        hit = F.col(number).isin(numbers)
+        words = F.when(hit, F.lit(word)) if words is None else words.when(hit, F.lit(word))
+    out = df.withColumn(number, ladder.otherwise(F.lit(0)))
+    return out.withColumn(label, words if otherwise is None else words.otherwise(otherwise))
 
 
 def _position_from_end(text: Column, mark: str) -> Column:

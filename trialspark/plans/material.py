@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from trialspark.operators import keyed, lookup
 from trialspark.operators import material as M
 from trialspark.plans.registry import Tables, plan
+from trialspark.session import cut_lineage
 
 _CROSS = {
     "be_bid": "concat('E', CAST(p_partkey AS STRING))",
@@ -122,7 +123,7 @@ ratios AS (SELECT *, CASE WHEN tester_ratio >= not_tester_ratio + 0.4 THEN 1 WHE
 
 @plan("M14 J3", _RATIO_SQL + " SELECT * FROM ratios")
 def tester_ratios(t: Tables) -> DataFrame:
-    return M.tester_ratios(M.tester_roles(_crosses(t)))
+    return M.tester_ratios(_roles(t))
 
 
 _REFINED_SQL = _RATIO_SQL + """,
@@ -143,8 +144,13 @@ pools AS (SELECT *, CASE WHEN fp_base_pool = 'pool1' AND (mp_base_pool = 'pool2'
 assigned AS (SELECT *, CASE fp_het_pool WHEN 'pool1' THEN 'pool2' WHEN 'pool2' THEN 'pool1' END AS mp_het_pool FROM pools)"""
 
 
+def _roles(t: Tables) -> DataFrame:
+    """Tester roles, written once: the share and the refining step both read them."""
+    return cut_lineage(M.tester_roles(_crosses(t)))
+
+
 def _assigned(t: Tables) -> DataFrame:
-    roles = M.tester_roles(_crosses(t))
+    roles = _roles(t)
     return M.assign_pools(M.refine_testers(roles, M.tester_ratios(roles)))
 
 
@@ -172,7 +178,7 @@ SELECT be_bid, coalesce(fp_het_pool, v) AS fp_het_pool, coalesce(mp_het_pool, w)
   CASE WHEN fp_het_pool = 'pool1' THEN fp_be_bid WHEN mp_het_pool = 'pool1' THEN mp_be_bid WHEN v = 'pool1' THEN fp_be_bid WHEN w = 'pool1' THEN mp_be_bid END AS par_hp1_be_bid,
   CASE WHEN mp_het_pool = 'pool2' THEN mp_be_bid WHEN fp_het_pool = 'pool2' THEN fp_be_bid WHEN v = 'pool2' THEN fp_be_bid WHEN w = 'pool2' THEN mp_be_bid END AS par_hp2_be_bid FROM z""")
 def final_pools(t: Tables) -> DataFrame:
-    a = _assigned(t)
+    a = cut_lineage(_assigned(t))
     return M.final_pools(a, M.pool_votes(a)).select("be_bid", "fp_het_pool", "mp_het_pool", "par_hp1_be_bid", "par_hp2_be_bid")
 
 
