@@ -110,21 +110,52 @@ def prediction_summary(df: DataFrame, keys: Sequence[str], value: str) -> DataFr
     return with_mean_interval(null_safe_join(base, quartiles, keys), "mean", "stddev", "n_obs")
 
 
+def pair_moments(df: DataFrame, columns: Sequence[str | Column]) -> dict[str, np.ndarray]:
+    """Pairwise-complete counts, means, covariances and correlations of columns in one pass.
+
+    Every task adds up products of its batches and emits one row of matrices of
+    the size of the column list, so the rows are neither shuffled nor paired.
+    Values are shifted by the column means first to keep the sums accurate.
+    """
+    p = len(columns)
+    if p > 2000:
+        raise ValueError("pairwise moments of more than 2000 columns do not fit the driver")
+    exprs = [(F.col(c) if isinstance(c, str) else c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)]
+    rows = df.select(*exprs)
+    centre = np.array([v if v is not None else 0.0 for v in rows.agg(*[F.avg(f"x{i}") for i in range(p)]).first()], dtype=float)
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = {k: np.zeros((p, p)) for k in ("n", "x", "xx", "xy")}
+        for pdf in batches:
+            x = pdf.to_numpy(dtype=float) - centre
+            known = ~np.isnan(x)
+            x = np.where(known, x, 0.0)
+            m = known.astype(float)
+            sums["n"] += m.T @ m
+            sums["x"] += x.T @ m
+            sums["xx"] += (x * x).T @ m
+            sums["xy"] += x.T @ x
+        yield pd.DataFrame({k: [v.ravel()] for k, v in sums.items()})
+
+    schema = ", ".join(f"{k} array<double>" for k in ("n", "x", "xx", "xy"))
+    tall = rows.mapInPandas(partial, schema).select(F.posexplode(F.arrays_zip("n", "x", "xx", "xy")).alias("at", "s"))
+    total = tall.groupBy("at").agg(*[F.sum(f"s.{k}").alias(k) for k in ("n", "x", "xx", "xy")]).orderBy("at").toPandas()
+    n, x, xx, xy = (total[k].to_numpy().reshape(p, p) for k in ("n", "x", "xx", "xy"))
+    with np.errstate(all="ignore"):
+        cross = xy - x * x.T / n
+        spread = xx - x * x / n
+        return {
+            "n": n,
+            "mean": centre,
+            "cov": cross / (n - 1),
+            "corr": np.clip(cross / np.sqrt(np.maximum(spread, 0) * np.maximum(spread, 0).T), -1, 1),
+        }
+
+
 def covariance_model(df: DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """Means and covariance of columns as small arrays (columns by columns)."""
-    p = len(columns)
-    if p > 500:
-        raise ValueError("covariance over more than 500 columns does not belong on the driver")
-    row = df.agg(
-        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
-        *[F.covar_samp(columns[i], columns[j]).alias(f"c{i}_{j}") for i in range(p) for j in range(i, p)],
-    ).first()
-    mean = np.array([row[f"m{i}"] for i in range(p)], dtype=float)
-    cov = np.zeros((p, p))
-    for i in range(p):
-        for j in range(i, p):
-            cov[i, j] = cov[j, i] = row[f"c{i}_{j}"]
-    return mean, cov
+    moments = pair_moments(df, columns)
+    return moments["mean"], np.nan_to_num(moments["cov"])
 
 
 def _quadratic_form(columns: Sequence[str], mean: np.ndarray, inverse: np.ndarray) -> Column:
@@ -178,22 +209,13 @@ def mahalanobis_nearest(rows: DataFrame, neighbours: DataFrame, values: DataFram
 
 
 def correlation_table(df: DataFrame, columns: Sequence[str], squares: bool = True) -> dict[tuple[str, str], float]:
-    """Correlations of all column pairs (and of their squares) from one aggregate over the data."""
-    terms = {c: F.col(c).cast("double") for c in columns}
+    """Correlations of all column pairs (and of their squares, named ``c^2``); 0 where undefined."""
+    terms: dict[str, Column] = {c: F.col(c).cast("double") for c in columns}
     if squares:
-        terms |= {f"{c}^2": F.pow(F.col(c).cast("double"), 2) for c in columns}
+        terms |= {f"{c}^2": F.pow(F.col(c).cast("double"), F.lit(2.0)) for c in columns}
+    corr = np.nan_to_num(pair_moments(df, list(terms.values()))["corr"])
     names = list(terms)
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
-    if len(pairs) > 200_000:
-        raise ValueError("too many columns for one correlation pass")
-    out: dict[tuple[str, str], float] = {}
-    for start in range(0, len(pairs), 2000):
-        part = pairs[start:start + 2000]
-        row = df.agg(*[F.corr(terms[a], terms[b]).alias(f"r{i}") for i, (a, b) in enumerate(part)]).first()
-        for i, (a, b) in enumerate(part):
-            value = row[f"r{i}"]
-            out[a, b] = out[b, a] = 0.0 if value is None or np.isnan(value) else float(value)
-    return out
+    return {(a, b): float(corr[i, j]) for i, a in enumerate(names) for j, b in enumerate(names) if i != j}
 
 
 def independent_features(df: DataFrame, columns: Sequence[str], limit: float = 0.92) -> list[str]:

@@ -114,7 +114,7 @@ def mahalanobis_among_neighbours(t: Tables) -> DataFrame:
     return G.mahalanobis_nearest(rows, near.select("s_suppkey", "c_custkey"), points, "s_suppkey", "c_custkey", ["lat", "c_acctbal"])
 
 
-@plan("E13")
+@plan("E13", "SELECT avg(l_quantity) AS l_quantity, avg(l_extendedprice) AS l_extendedprice, avg(l_discount) AS l_discount, avg(l_tax) AS l_tax FROM lineitem")
 def independent_features(t: Tables) -> DataFrame:
     x = t.lineitem.select(
         "l_quantity", "l_extendedprice", "l_discount", "l_tax", (F.col("l_quantity") * 2 + F.col("l_tax")).alias("near_quantity"), (F.col("l_discount") * F.col("l_discount")).alias("squared_discount")
@@ -155,16 +155,16 @@ def trial_extract(t: Tables) -> DataFrame:
 
 
 @plan("E14 W14 R3", """
-WITH x AS (SELECT l_orderkey, l_linenumber, l_returnflag AS trait, l_quantity AS v, l_suppkey AS loc, CASE WHEN l_tax > 0.02 THEN CAST(l_shipdate AS DATE) END AS plant, CASE WHEN l_linestatus = 'O' THEN 'IRR' ELSE 'DRY' END AS irrigation FROM lineitem),
-f AS (SELECT *, coalesce(last_value(plant IGNORE NULLS) OVER (PARTITION BY loc ORDER BY l_orderkey, l_linenumber ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-  first_value(plant IGNORE NULLS) OVER (PARTITION BY loc ORDER BY l_orderkey, l_linenumber ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS planted FROM x)
+WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_shipdate, l_returnflag AS trait, l_quantity AS v, l_suppkey AS loc, CASE WHEN l_tax > 0.02 THEN CAST(l_shipdate AS DATE) END AS plant, CASE WHEN l_linestatus = 'O' THEN 'IRR' ELSE 'DRY' END AS irrigation FROM lineitem),
+f AS (SELECT *, coalesce(last_value(plant IGNORE NULLS) OVER (PARTITION BY loc ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_shipdate ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(plant IGNORE NULLS) OVER (PARTITION BY loc ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_shipdate ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS planted FROM x)
 SELECT loc, planted, irrigation, avg(v) FILTER (trait = 'A') AS A, avg(v) FILTER (trait = 'R') AS R FROM f GROUP BY ALL HAVING avg(v) FILTER (trait = 'A') IS NOT NULL""")
 def trial_table_by_year(t: Tables) -> DataFrame:
     x = t.lineitem.select(
-        "l_orderkey", "l_linenumber", F.col("l_returnflag").alias("trait"), F.col("l_quantity").alias("v"), F.col("l_suppkey").alias("loc"),
+        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_shipdate", F.col("l_returnflag").alias("trait"), F.col("l_quantity").alias("v"), F.col("l_suppkey").alias("loc"),
         F.when(F.col("l_tax") > 0.02, F.to_date("l_shipdate")).alias("planted"), C.normalised(F.col("l_linestatus"), {"O": "IRR"}, "DRY").alias("irrigation"),
     )
-    filled = keyed.fill_in_order(x, ["loc"], ["l_orderkey", "l_linenumber"], ["planted"])
+    filled = keyed.fill_in_order(x, ["loc"], ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_shipdate"], ["planted"])
     wide = R.to_wide(filled, ["loc", "planted", "irrigation"], ["trait"], {"": F.avg("v")}, ["A", "R"])
     return R.drop_incomplete(wide, ["A"])
 
@@ -173,7 +173,7 @@ def trial_table_by_year(t: Tables) -> DataFrame:
 WITH pca AS (SELECT s_suppkey, s_acctbal / 100 AS comp_0, s_nationkey * 1.0 AS comp_1 FROM supplier),
 g AS (SELECT DISTINCT round(c_acctbal / 1000, 0) AS lat, c_nationkey, round(c_acctbal / 1000, 0) * 2 AS rain FROM customer),
 x AS (SELECT o_orderkey, o_custkey % 90 AS par1, o_orderkey % 110 AS par2, c_acctbal / 1000 AS lat, c_nationkey, year(o_orderdate) AS yr FROM orders JOIN customer ON o_custkey = c_custkey)
-SELECT o_orderkey, a.comp_0 AS comp_0_par1, a.comp_1 AS comp_1_par1, b.comp_0 AS comp_0_par2, b.comp_1 AS comp_1_par2, rain, yr = 2001 AND c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1) AS is_current FROM x
+SELECT o_orderkey, a.comp_0 AS comp_0_par1, a.comp_1 AS comp_1_par1, b.comp_0 AS comp_0_par2, b.comp_1 AS comp_1_par2, rain, yr = 2001 AND x.c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1) AS is_current FROM x
 LEFT JOIN pca a ON a.s_suppkey = par1 LEFT JOIN pca b ON b.s_suppkey = par2 LEFT JOIN g ON g.lat = round(x.lat, 0) AND g.c_nationkey = x.c_nationkey""")
 def training_table_assembly(t: Tables) -> DataFrame:
     pca = t.supplier.select("s_suppkey", (F.col("s_acctbal") / 100).alias("comp_0"), (F.col("s_nationkey") * F.lit(1.0)).alias("comp_1"))

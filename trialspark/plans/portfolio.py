@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from trialspark.operators import portfolio as P
 from trialspark.operators import ratings as R
+from trialspark.operators.keyed import numbered
 from trialspark.plans.registry import Tables, plan
+from trialspark.session import cut_lineage
 
 _LEAGUE = ["l_returnflag"]
 
@@ -21,11 +23,9 @@ def _scores(t: Tables) -> DataFrame:
 @plan("Z1", """
 SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY o_orderstatus, o_orderpriority) AS INTEGER) AS param_idx FROM orders""")
 def league_index(t: Tables) -> DataFrame:
-    from pyspark.sql import Window
-
-    leagues = t.orders.select("o_orderstatus", "o_orderpriority").distinct()
-    numbered = leagues.withColumn("param_idx", F.row_number().over(Window.orderBy("o_orderstatus", "o_orderpriority")))
-    return t.orders.join(F.broadcast(numbered), ["o_orderstatus", "o_orderpriority"]).select("o_orderkey", "param_idx")
+    leagues = numbered(t.orders.select("o_orderstatus", "o_orderpriority").distinct(), ["o_orderstatus", "o_orderpriority"], "param_idx")
+    out = t.orders.join(leagues, ["o_orderstatus", "o_orderpriority"])
+    return out.select("o_orderkey", F.col("param_idx").cast("int").alias("param_idx"))
 
 
 _SCORES = """WITH s AS (SELECT l_returnflag, l_partkey, l_suppkey, avg(l_extendedprice / l_quantity) AS x FROM lineitem GROUP BY ALL),
@@ -57,6 +57,17 @@ def points_between_listed_pairs(t: Tables) -> DataFrame:
     return out.withColumns({"points_for": F.round("points_for", 5), "points_against": F.round("points_against", 5)})
 
 
+@plan("Z4", _SCORES + "SELECT l_returnflag, i AS l_suppkey, round(sum(d), 4) AS points, true AS sums_to_zero FROM g GROUP BY ALL")
+def massey_points_from_ratings(t: Tables) -> DataFrame:
+    """The games matrix applied to the ratings gives back every entry's points."""
+    scores = _scores(t)
+    ratings = cut_lineage(R.rate(scores, _LEAGUE, "l_suppkey"))
+    again = scores.drop("_x").join(ratings.withColumnRenamed("rating", "_x"), [*_LEAGUE, "l_suppkey"])
+    total = ratings.groupBy(*_LEAGUE).agg((F.abs(F.sum("rating")) < 1e-6).alias("sums_to_zero"))
+    out = R.games(again, _LEAGUE, "l_suppkey").join(total, _LEAGUE)
+    return out.select(*_LEAGUE, "l_suppkey", F.round("points", 4).alias("points"), "sums_to_zero")
+
+
 @plan("Z4 Z6")
 def massey_ranking(t: Tables) -> DataFrame:
     scores = _scores(t)
@@ -180,7 +191,12 @@ def first_pareto_front(t: Tables) -> DataFrame:
     return out.filter("front_idx = 0").select("p_brand", "l_partkey")
 
 
-@plan("Z16")
+@plan("Z16", """
+WITH RECURSIVE o AS (SELECT p_brand, l_partkey, sum(l_quantity) AS cost, avg(l_extendedprice) AS yield, max(l_discount) AS risk FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL),
+d AS (SELECT b.l_partkey AS winner, a.l_partkey AS loser FROM o a JOIN o b ON b.p_brand = a.p_brand AND b.l_partkey <> a.l_partkey AND b.cost <= a.cost AND b.yield >= a.yield AND b.risk <= a.risk
+  AND (b.cost < a.cost OR b.yield > a.yield OR b.risk < a.risk)),
+r AS (SELECT 0 AS k, l_partkey FROM o UNION SELECT k + 1, d.loser FROM r JOIN d ON d.winner = r.l_partkey)
+SELECT p_brand, o.l_partkey, max(k) AS front_idx FROM o JOIN r USING (l_partkey) GROUP BY ALL""")
 def all_pareto_fronts(t: Tables) -> DataFrame:
     return P.pareto_fronts(_objectives(t), ["p_brand"], "l_partkey", ["cost", "risk"], ["yield"]).select("p_brand", "l_partkey", "front_idx")
 
