@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from trialspark.functions import scoring as S
 from trialspark.functions.scoring import apply_normal_score
 from trialspark.operators.aggregates import geometric_mean
-from trialspark.operators.keyed import null_safe_join, salted_join
+from trialspark.operators.keyed import salted_join
+from trialspark.session import cut_lineage
 
 
 def pair_with_checks(df: DataFrame, group: Sequence[str], entry: str, flag: str, take: Sequence[str], how: str = "inner") -> DataFrame:
@@ -26,10 +27,10 @@ def pair_with_checks(df: DataFrame, group: Sequence[str], entry: str, flag: str,
     return salted_join(df, checks, list(group), [entry], how=how)
 
 
-def _moments(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def _moments(df: DataFrame, keys: Sequence[str], value: str, flag: str) -> DataFrame:
     x = F.col(value)
     return df.groupBy(*keys).agg(
-        F.count(x).alias("_n"), F.avg(x).alias("_mean"), (F.var_pop(x) * F.count(x)).alias("_m2")
+        F.count(x).alias("_n"), F.avg(x).alias("_mean"), (F.var_pop(x) * F.count(x)).alias("_m2"), F.bool_or(flag).alias("_flag")
     )
 
 
@@ -63,14 +64,16 @@ def co_occurrence(
     both sides need more than ``more_than`` values.
 
     Plots are reduced to one row of moments per trial and entry before any
-    pairing, and pairing is entries by checks of one trial, never entry by
-    entry. Partial sums per pair form inside the map tasks.
+    pairing, and those rows are written out once, so the plots are read a single
+    time for the four uses below. Pairing is entries by checks of one trial,
+    never entry by entry. Partial sums per pair form inside the map tasks.
     """
     place = [*group, trial]
-    cells = _moments(plots, [*place, *breakout, entry], value)
-    grown = plots.groupBy(*place, entry).agg(F.bool_or(flag).alias("_is_check"))
+    cells = cut_lineage(_moments(plots, [*place, *breakout, entry], value, flag))
+    grown = cells.groupBy(*place, entry).agg(F.bool_or("_flag").alias("_is_check")) if breakout else cells.withColumnRenamed("_flag", "_is_check")
     checks = grown.filter("_is_check").select(*place, F.col(entry).alias(f"check_{entry}"))
     entries = grown.select(*place, entry)
+    cells = cells.drop("_flag")
     pair = [*group, *breakout, entry, f"check_{entry}"]
 
     entry_side = salted_join(cells, checks, place, [entry]).groupBy(*pair).agg(*_merged(""))
