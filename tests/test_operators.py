@@ -128,7 +128,7 @@ def test_small_and_large_robust_fits_agree(spark):
     large = M.adjust_robust(df, ["g"], "x", "y", group_rows=1).toPandas().sort_values(["g", "x"])
     assert small.adj_model.tolist() == large.adj_model.tolist()
     assert np.allclose(small.adjusted_prediction.to_numpy(float), large.adjusted_prediction.to_numpy(float), atol=1e-5)
-    assert (small.adj_outlier == large.adj_outlier).all()
+    assert small.adj_outlier.tolist() == large.adj_outlier.tolist()
 
 
 def test_huber_fit_is_a_stationary_point():
@@ -180,7 +180,7 @@ def test_stratified_folds_are_even(spark):
 @pytest.fixture(scope="module")
 def played(spark):
     rng = np.random.default_rng(7)
-    rows = [(int(l), int(f), int(e), float(rng.normal(e / 5, 2))) for l in range(2) for f in range(12) for e in rng.choice(25, 8, replace=False)]
+    rows = [(int(l), int(f), int(e), float(rng.normal(e / 5, 2))) for l in range(2) for f in range(8) for e in rng.choice(10, 5, replace=False)]
     pdf = pd.DataFrame(rows, columns=["league", "field", "entry", "score"])
     return pdf, R.field_scores(spark.createDataFrame(pdf), ["league"], ["field"], "entry", "score")
 
@@ -213,7 +213,7 @@ def test_massey_matches_listed_games(spark, played):
 def test_large_leagues_give_the_same_ratings(spark, played, method):
     _, scores = played
     small = R.rate(scores, ["league"], "entry", method).toPandas().sort_values(["league", "entry"])
-    solver = {"massey": R._massey_large, "keener": lambda *a: R._keener_large(*a, block=8)}[method]
+    solver = {"massey": R._massey_large, "keener": lambda *a: R._keener_large(*a, block=4)}[method]
     large = solver(scores, ["league"], "entry").toPandas().sort_values(["league", "entry"])
     assert np.allclose(small.rating, large.rating, atol=1e-7)
 
@@ -260,8 +260,9 @@ def test_fronts_agree_small_and_large_and_cover_all(spark):
     pdf = pd.DataFrame({"g": rng.integers(0, 2, 240), "i": np.arange(240), "a": rng.integers(0, 12, 240).astype(float), "b": rng.integers(0, 12, 240).astype(float)})
     df = spark.createDataFrame(pdf)
     small = P.pareto_fronts(df, ["g"], "i", ["a"], ["b"]).toPandas().sort_values("i")
-    large = P.pareto_fronts(df, ["g"], "i", ["a"], ["b"], task_rows=40).toPandas().sort_values("i")
-    assert small.front_idx.notna().all() and small.front_idx.tolist() == large.front_idx.tolist()
+    large = P.pareto_fronts(df, ["g"], "i", ["a"], ["b"], n_fronts=3, task_rows=40).toPandas().sort_values("i")
+    assert small.front_idx.notna().all()
+    assert small.front_idx.where(small.front_idx < 3, -1).tolist() == large.front_idx.fillna(-1).tolist()
     for r in small[small.front_idx > 0].itertuples():
         above = small[(small.g == r.g) & (small.front_idx == r.front_idx - 1)]
         assert ((above.a <= r.a) & (above.b >= r.b)).any()
