@@ -40,7 +40,9 @@ def test_t_quantile(spark, df, want):
     assert got == pytest.approx(want, abs=1e-8)
 
 
-@pytest.mark.parametrize("x, n, want", [(3.0, 5, 0.699985835879), (7.5, 3, 0.057558451973), (12.0, 1, 0.000532005505), (40.0, 60, 0.978200826)])
+@pytest.mark.parametrize("x, n, want", [(3.0, 5, 0.699985835879), (7.5, 3, 0.057558451973), (12.0, 1, 0.000532005505), (40.0, 60, None), (90.0, 60, None)])
 def test_chi_square_tail(spark, x, n, want):
+    if want is None:  # an even number of degrees has a finite Poisson sum
+        want = math.exp(-x / 2) * sum((x / 2) ** k / math.factorial(k) for k in range(n // 2))
     got = spark.createDataFrame([(x, float(n))], "x double, n double").select(P.chi2_sf(F.col("x"), F.col("n")).alias("p")).first().p
     assert got == pytest.approx(want, abs=1e-6)
