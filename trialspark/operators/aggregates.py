@@ -46,6 +46,11 @@ def weighted_geometric_mean(x: Column, w: Column) -> Column:
     return F.exp(F.sum(F.log(x) * w) / F.nullif(F.sum(w), F.lit(0.0)))
 
 
+def correlation(x: str, y: str) -> Column:
+    """Pearson correlation of two columns without nulls; null when one is constant."""
+    return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
+
+
 def unique_strings(x: str, separator: str = ",") -> Column:
     """Distinct values in order, joined to one string."""
     return F.array_join(F.array_sort(F.collect_set(x)), separator)
@@ -145,8 +150,8 @@ def accuracy(df: DataFrame, keys: Sequence[str], actual: str, predicted: str) ->
         rows = null_safe_join(rows, ranks, [*keys, c])
     enough = F.count(F.lit(1)) > 2
     return rows.groupBy(*keys).agg(
-        F.when(enough, F.corr(actual, predicted)).alias("pearson"),
-        F.when(enough, F.corr(f"_rank_{actual}", f"_rank_{predicted}")).alias("spearman"),
+        F.when(enough, correlation(actual, predicted)).alias("pearson"),
+        F.when(enough, correlation(f"_rank_{actual}", f"_rank_{predicted}")).alias("spearman"),
         F.sqrt(F.avg(F.pow(F.col(actual) - F.col(predicted), 2))).alias("rmse"),
         F.count(F.lit(1)).alias("n_obs"),
     )

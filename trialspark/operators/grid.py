@@ -81,8 +81,8 @@ def rank_by_environment(df: DataFrame, region: str, keys: Sequence[str], water:
     )
     per_entry = df.groupBy(*levels, cluster, entry).agg(F.avg(value).alias("_mean"))
     points = null_safe_join(per_entry, capacity.select(*levels, cluster, "capacity"), [*levels, cluster])
-    totals = points.groupBy(*levels, entry).agg(F.avg(F.col("_mean") * F.col("capacity")).alias("points"))
-    # ties in points go to the smaller entry id
+    # ties in points go to the smaller entry id; rounding keeps the order of summation out of it
+    totals = points.groupBy(*levels, entry).agg(F.round(F.avg(F.col("_mean") * F.col("capacity")), 9).alias("points"))
     ranks = group_ranks(totals, levels, "points", descending=True).select(*levels, "points", "rank_min", "n_tied")
     ranked = null_safe_join(totals, ranks, [*levels, "points"])
     from pyspark.sql import Window

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trialspark.functions import scoring as S
 from trialspark.functions.scoring import apply_normal_score
-from trialspark.operators.aggregates import geometric_mean
+from trialspark.operators.aggregates import correlation, geometric_mean
 from trialspark.operators.keyed import salted_join
 from trialspark.session import cut_lineage
 
@@ -144,7 +144,7 @@ def correlation_test(df: DataFrame, keys: Sequence[str], x: str, y: str) -> Data
     from trialspark.functions.probability import t_two_sided
 
     both = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    out = both.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.corr(x, y).alias("correlation"))
+    out = both.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), correlation(x, y).alias("correlation"))
     r = F.col("correlation")
     out = out.withColumn("t_stat", F.when(F.col("n") > 2, r * F.sqrt((F.col("n") - 2) / F.nullif(1 - r * r, F.lit(0.0)))))
     return out.withColumn("p_value", t_two_sided(F.col("t_stat"), F.col("n") - 2))

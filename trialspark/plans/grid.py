@@ -68,7 +68,7 @@ def _ranked(t: Tables) -> DataFrame:
     return G.rank_by_environment(grid(t), "brand", ["stage_year"], "irrigation", "kind", "entry_id", "yield")
 
 
-@plan("E5 W16 T5 E23", with_clauses(GRID) + _RANKS + "SELECT 'brand' AS region_type, region_name, stage_year, irrigation, entry_id, round(points, 6) AS points, rank FROM rk")
+@plan("E5 W16 T5 E23", with_clauses(GRID) + _RANKS + "SELECT 'brand' AS region_type, region_name, stage_year, irrigation, entry_id, round(round(points, 9), 6) AS points, rank FROM rk")
 def ranks_by_environment(t: Tables) -> DataFrame:
     return _ranked(t).withColumn("points", F.round("points", 6))
 
