@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -38,19 +39,20 @@ def build_session(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder for checkpoints: the cluster's ``spark.checkpoint.dir``.
+    """The folder for written steps: the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own; on a cluster a
-    machine-local folder would be lost together with its executor.
+    Only a session inside one process (tests, benches) sets a folder of its own
+    where none is set; on a cluster a machine-local folder would be lost together
+    with its executor.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if shared:
-        return shared
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative operators")
-    return os.path.join(tempfile.gettempdir(), f"trialspark-checkpoints-{spark.sparkContext.applicationId}")
+    name = "spark.checkpoint.dir"
+    shared = spark.conf.get(name, None) or spark.sparkContext.getConf().get(name, None)
+    if not shared:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = os.path.join(tempfile.gettempdir(), f"trialspark-steps-{spark.sparkContext.applicationId}")
+        spark.conf.set(name, shared)
+    return shared
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -63,4 +65,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/step-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.step_path = path
+    return out
+
+
+def release(*steps: DataFrame) -> None:
+    """Delete the files of steps made by :func:`cut_lineage` that nothing reads any more."""
+    for step in steps:
+        if path := getattr(step, "step_path", None):
+            spark = step.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
