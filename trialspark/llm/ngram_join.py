@@ -78,19 +78,48 @@ def class_of(s: np.ndarray) -> int:
 
 
 def point_of(s: np.ndarray) -> np.ndarray:
-    """Number of shingles in each hash group."""
-    return np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+    """Number of shingles in each hash group.
+
+    A larger set has more groups, a power of two of about an eighth of its size:
+    else sums of minima would say little about it. Points are compared in the
+    coarser of their two resolutions.
+    """
+    groups = max(GROUPS, 1 << max(0, (len(s) // 8 - 1).bit_length()))
+    return np.bincount((s & np.uint64(groups - 1)).astype(np.int64), minlength=groups).astype(np.int32)
 
 
 def packed(point: np.ndarray) -> bytes:
-    """A point as bytes: one per count, or four where a count is 256 or more."""
-    return (point.astype(np.uint8) if point.max() < 256 else point).tobytes()
+    """A point as bytes: one per count after a 0, or four after a 1 where a count is 256 or more."""
+    return b"\0" + point.astype(np.uint8).tobytes() if point.max() < 256 else b"\1" + point.tobytes()
+
+
+def unpacked(point: bytes) -> np.ndarray:
+    return np.frombuffer(point, np.uint8, offset=1).astype(np.int32) if point[0] == 0 else np.frombuffer(point[1:], np.int32)
 
 
-def unpacked(points: list[bytes]) -> np.ndarray:
-    if all(len(p) == GROUPS for p in points):
-        return np.frombuffer(b"".join(points), np.uint8).reshape(-1, GROUPS).astype(np.int32)
-    return np.stack([np.frombuffer(p, np.uint8 if len(p) == GROUPS else np.int32).astype(np.int32) for p in points])
+def folded(point: np.ndarray, groups: int) -> np.ndarray:
+    return point if len(point) == groups else point.reshape(-1, groups).sum(axis=0, dtype=np.int32)
+
+
+class Points:
+    """Points of the rows of a table, in full and in the coarsest resolution, with the sizes of their sets."""
+
+    def __init__(self, data: list[bytes]):
+        self.fine = [unpacked(p) for p in data]
+        self.coarse = np.stack([folded(p, GROUPS) for p in self.fine])
+        self.sizes = self.coarse.sum(axis=1, dtype=np.int64)
+
+    def bound(self, i: int, rows: np.ndarray, least: int) -> np.ndarray:
+        """Whether the sum of minima, in the resolution of each pair, allows similarity."""
+        mine = self.fine[i]
+        if len(mine) == GROUPS:
+            return np.ones(len(rows), bool)
+        out = np.empty(len(rows), bool)
+        for k, j in enumerate(rows.tolist()):
+            other = self.fine[j]
+            groups = min(len(mine), len(other))
+            out[k] = np.minimum(folded(mine, groups), folded(other, groups)).sum() >= needed(self.sizes[i], self.sizes[j], least)
+        return out
 
 
 def needed(n, m, least: int):
@@ -225,23 +254,20 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(key[several]), pa.array(name[several])], ["key", "class"])
 
 
-def _sets(words: int, wanted):
-    """Sets and points of the classes that share a key."""
+def _wanted(words: int, wanted, name: str, value):
+    """``value(set)`` of the classes marked in the bitmap, in column ``name``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in slices(batches, "text", 1 << 20):
-            names, sets = [], []
+            names, values = [], []
             for s in shingle_sets(batch.column("text").to_pylist(), words):
-                if len(s) and (name := class_of(s)) not in seen and in_bitmap(wanted.value, np.array([name]))[0]:
-                    seen.add(name)
-                    names.append(name)
-                    sets.append(s)
+                if len(s) and (own := class_of(s)) not in seen and in_bitmap(wanted.value, np.array([own]))[0]:
+                    seen.add(own)
+                    names.append(own)
+                    values.append(value(s))
             if names:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.int64()), pa.array([packed(point_of(s)) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    ["class", "point", "shingles"],
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(values, pa.binary())], ["class", name])
 
     return run
 
@@ -254,23 +280,28 @@ def _candidates(least: int):
             part, name = table.column("part").to_numpy(), table.column("class").to_numpy()
             tile = table.column("tile").to_numpy()
             across = table.column("tile_a").to_numpy() != table.column("tile_b").to_numpy()
-            points = unpacked(table.column("point").to_pylist())
-            sizes = points.sum(axis=1)
+            points = Points(table.column("point").to_pylist())
             starts, many = runs(part)
             a, b = [], []
-            # small blocks: all pairs of a block, block by block of one size at once
+            # small blocks: one pair of places after the other, in all blocks of one size at once
             for m in range(2, 9):
                 own = starts[many == m]
                 for i in range(m):
                     for j in range(i + 1, m):
                         x, y = own + i, own + j
-                        x, y = x[~across[x] | (tile[x] != tile[y])], y[~across[x] | (tile[x] != tile[y])]
-                        fit = np.minimum(points[x], points[y]).sum(axis=1) >= needed(sizes[x], sizes[y], least)
-                        a.append(name[x[fit]])
-                        b.append(name[y[fit]])
+                        far = across[x] & (tile[x] == tile[y])
+                        fit = ~far & (np.minimum(points.coarse[x], points.coarse[y]).sum(axis=1) >= needed(points.sizes[x], points.sizes[y], least))
+                        a.append(x[fit])
+                        b.append(y[fit])
+            if a:
+                x, y = np.concatenate(a), np.concatenate(b)
+                _, first = np.unique(np.stack([name[x], name[y]], axis=1), axis=0, return_index=True)
+                fit = [k for k in first.tolist() if points.bound(x[k], y[k : k + 1], least)[0]]
+                a, b = [name[x[fit]]], [name[y[fit]]]
             for start, m in zip(starts[many > 8], many[many > 8]):
                 own = slice(start, start + m)
-                top = CountTree(points[own], sizes[own], least).components(None, tile[own] if across[start] else None)
+                tree = CountTree(points.coarse[own], points.sizes[own], least)
+                top = tree.components(lambda i, rows, start=start: points.bound(start + i, start + rows, least), tile[own] if across[start] else None)
                 a.append(name[own])
                 b.append(name[own][top])
             if a:
@@ -289,10 +320,9 @@ def _verified(least: int):
             part, name = table.column("part").to_numpy(), table.column("class").to_numpy()
             tile = table.column("tile").to_numpy()
             across = table.column("tile_a").to_numpy() != table.column("tile_b").to_numpy()
-            points = unpacked(table.column("point").to_pylist())
-            sizes = points.sum(axis=1)
-            flat = np.frombuffer(b"".join(table.column("shingles").to_pylist()), np.uint64)
-            ends = np.r_[0, np.cumsum(sizes)].astype(np.int64)
+            sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+            sizes = np.array([len(x) for x in sets], np.int64)
+            coarse = np.stack([folded(point_of(x), GROUPS) for x in sets])
             a, b = [], []
             for start, m in zip(*runs(part)):
                 if m < 2:
@@ -300,14 +330,14 @@ def _verified(least: int):
                 own = slice(start, start + m)
 
                 def check(row: int, rows: np.ndarray, start=start) -> np.ndarray:
-                    mine = flat[ends[start + row] : ends[start + row + 1]]
-                    other = np.concatenate([flat[ends[start + r] : ends[start + r + 1]] for r in rows])
+                    mine, many = sets[start + row], sizes[start + rows]
+                    other = np.concatenate([sets[start + r] for r in rows])
                     spot = np.searchsorted(mine, other)
                     spot[spot == len(mine)] = 0
-                    overlap = np.add.reduceat((mine[spot] == other).astype(np.int64), np.r_[0, np.cumsum(sizes[start + rows])[:-1]])
-                    return overlap >= needed(len(mine), sizes[start + rows], least)
+                    overlap = np.add.reduceat((mine[spot] == other).astype(np.int64), np.r_[0, np.cumsum(many)[:-1]])
+                    return overlap >= needed(len(mine), many, least)
 
-                top = CountTree(points[own], sizes[own], least).components(check, tile[own] if across[start] else None)
+                top = CountTree(coarse[own], sizes[own], least).components(check, tile[own] if across[start] else None)
                 a.append(name[own])
                 b.append(name[own][top])
             if a:
@@ -335,20 +365,21 @@ def similar_classes(texts: DataFrame, measured: DataFrame, words: int, least: in
     keyed = texts.mapInArrow(_prefixes(words, least, common), "key long, class long")
     shared = cut_lineage(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_shared, "key long, class long"))
     wanted = spark.sparkContext.broadcast(slot_bitmap(shared, "class", SLOT_BITS))
-    sets = texts.mapInArrow(_sets(words, wanted), "class long, point binary, shingles binary").dropDuplicates(["class"])
-    sets = cut_lineage(sets)
-
+    points = texts.mapInArrow(_wanted(words, wanted, "point", lambda x: packed(point_of(x))), "class long, point binary").dropDuplicates(["class"])
     large = shared.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / TILE_POINTS).cast("int").alias("tiles")).filter("tiles > 1")
-    pointed = _tiled(shared.join(sets.select("class", "point"), "class"), "key", large)
+    pointed = _tiled(shared.join(points, "class"), "key", large)
     linked = cut_lineage(pointed.mapInArrow(_candidates(least), "a long, b long"))
+
     clusters = connected_components(linked)
     members = clusters.union(clusters.select(F.col("component").alias("node"), "component").distinct())
     members = cut_lineage(members.select(F.col("node").alias("class"), F.col("component").alias("cluster")))
-    in_clusters = sets.join(members, "class")
+    clustered = spark.sparkContext.broadcast(slot_bitmap(members, "class", SLOT_BITS))
+    sets = texts.mapInArrow(_wanted(words, clustered, "shingles", lambda x: x.tobytes()), "class long, shingles binary").dropDuplicates(["class"])
+    in_clusters = cut_lineage(sets.join(members, "class"))
     weights = in_clusters.groupBy("cluster").agg(F.ceil(F.sum(F.octet_length("shingles").cast("long")) / (8 * TILE_SHINGLES)).cast("int").alias("tiles"))
     exact = _tiled(in_clusters, "cluster", weights.filter("tiles > 1")).mapInArrow(_verified(least), "a long, b long")
     out = connected_components(exact)
-    release(shared, sets, linked, members)
+    release(shared, linked, members, in_clusters)
     return out
 
 
@@ -372,7 +403,7 @@ def ngram_jaccard_join(
     some part of the input, which are marked in a bitmap of fixed size. Under
     each shared shingle an R-tree of count points links the classes whose bound
     allows similarity; the clusters of these links are then joined exactly, again
-    by R-tree, with the sets at hand. Blocks beyond a size are cut into tiles and
+    by R-tree, with their sets at hand. Blocks beyond a size are cut into tiles and
     every pair of tiles is a task's work, so no pair is lost.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
