@@ -241,7 +241,10 @@ def _prefixes(words: int, least: int, common):
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keys that two or more classes have, with their classes."""
+    """Blocks of two or more classes with a key in common, named by a hash of the classes.
+
+    Copies with changes share many keys; keys with the same classes make one block.
+    """
     for table in whole_groups(batches, "key"):
         key, name = table.column("key").to_numpy(), table.column("class").to_numpy()
         order = np.lexsort((name, key))
@@ -249,9 +252,14 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once = np.r_[True, (key[1:] != key[:-1]) | (name[1:] != name[:-1])]
         key, name = key[once], name[once]
         starts, sizes = runs(key)
-        several = np.repeat(sizes > 1, sizes)
+        block = mix64(np.add.reduceat(mix64(name.astype(np.uint64)), starts) + sizes.astype(np.uint64)).astype(np.int64)
+        # equal blocks once, the first of each
+        _, first = np.unique(block, return_index=True)
+        take = np.zeros(len(starts), bool)
+        take[first] = True
+        several = np.repeat(take & (sizes > 1), sizes)
         if several.any():
-            yield pa.RecordBatch.from_arrays([pa.array(key[several]), pa.array(name[several])], ["key", "class"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(block, sizes)[several]), pa.array(name[several])], ["key", "class"])
 
 
 def _wanted(words: int, wanted, name: str, value):
@@ -363,7 +371,7 @@ def similar_classes(texts: DataFrame, measured: DataFrame, words: int, least: in
     often = measured.filter("slot is not null").groupBy("slot").agg(F.sum("hits").alias("hits")).filter("hits >= 32")
     common = spark.sparkContext.broadcast(slot_bitmap(often, "slot", SLOT_BITS))
     keyed = texts.mapInArrow(_prefixes(words, least, common), "key long, class long")
-    shared = cut_lineage(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_shared, "key long, class long"))
+    shared = cut_lineage(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_shared, "key long, class long").distinct())
     wanted = spark.sparkContext.broadcast(slot_bitmap(shared, "class", SLOT_BITS))
     points = texts.mapInArrow(_wanted(words, wanted, "point", lambda x: packed(point_of(x))), "class long, point binary").dropDuplicates(["class"])
     large = shared.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / TILE_POINTS).cast("int").alias("tiles")).filter("tiles > 1")
