@@ -127,7 +127,7 @@ class Encoder:
     whose normaliser and splitter then cut that text.
     """
 
-    def __init__(self, v: Vocabulary, remember: int = 400_000):
+    def __init__(self, v: Vocabulary, remember: int = 120_000):
         self.v, self.remember = v, remember
         self.find = regex.compile(WORDS).findall
         #: Separators that str.split takes for white space and the pattern does not.
@@ -224,7 +224,7 @@ def encode_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tables.value)
-        for batch in slices(batches, "text", 1 << 21):
+        for batch in slices(batches, "text", 1 << 20):
             codes, decoded = [], []
             for code, pieces in encoder.encode(batch.column("text").to_pylist()):
                 codes.append(code)

@@ -22,7 +22,7 @@ MARGIN = 64
 class Counter:
     """Cuts texts into parts and counts the tokens of each part with the library, once per part seen."""
 
-    def __init__(self, source: str, remember: int = 500_000):
+    def __init__(self, source: str, remember: int = 150_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(source)
@@ -85,8 +85,8 @@ class Counter:
 
     def _learn(self, known: dict[str, int], lead: str, parts: list[list[str]]) -> None:
         new = list(set().union(*parts) - known.keys())
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
+        for at in range(0, len(new), 2_000):
+            part = new[at : at + 2_000]
             codes = self.library.encode_batch_fast([lead + p for p in part] if lead else part, add_special_tokens=False)
             known.update(zip(part, (len(c.ids) for c in codes)))
 
@@ -121,7 +121,7 @@ def _bounds(source, size: int, overlap: int):
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(source.value)
-        for batch in slices(batches, "text", 1 << 21):
+        for batch in slices(batches, "text", 1 << 20):
             columns: dict[str, list] = {c: [] for c in ("total", "left_at", "left_before", "right_at", "right_before")}
             texts = batch.column("text").to_pylist()
             for text, last, (lengths, tokens) in zip(texts, batch.column("last").to_pylist(), counter.cut(texts)):
@@ -198,7 +198,7 @@ def count_tokens(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(source.value)
-        for batch in slices(batches, "text", 1 << 21):
+        for batch in slices(batches, "text", 1 << 20):
             texts = batch.column("text").to_pylist()
             tokens = pa.array([sum(n) for _, n in counter.cut(texts)], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_bytes"), tokens], ["id", "n_bytes", "n_tokens"])
