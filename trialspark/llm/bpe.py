@@ -207,6 +207,17 @@ class Encoder:
         return b" ".join(map(self.v.written.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+_ENCODERS: dict[int, Encoder] = {}
+
+
+def encoder_of(v: Vocabulary) -> Encoder:
+    """One encoder per worker process and vocabulary, kept over tasks."""
+    if (key := hash(v.source)) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(v)
+    return _ENCODERS[key]
+
+
 def encode_documents(
     docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = True, digests: bool = False
 ) -> DataFrame:
@@ -223,7 +234,7 @@ def encode_documents(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tables.value)
+        encoder = encoder_of(tables.value)
         for batch in slices(batches, "text", 1 << 20):
             codes, decoded = [], []
             for code, pieces in encoder.encode(batch.column("text").to_pylist()):
@@ -245,7 +256,7 @@ def decode_documents(encoded: DataFrame, vocabulary: str, id_col: str = "id", id
     rows = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tables.value)
+        encoder = encoder_of(tables.value)
         for batch in slices(batches, "ids"):
             texts = [encoder.decode(x or b"").decode() for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(texts, pa.string())], ["id", "decoded"])

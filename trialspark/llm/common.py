@@ -28,7 +28,7 @@ def document_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col).isNull(), F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about ``limit`` bytes of ``column`` at most (one longer text makes a batch)."""
     for batch in batches:
         if not batch.num_rows:

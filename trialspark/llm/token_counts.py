@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import unicodedata
 from collections.abc import Iterator
 
@@ -23,6 +24,8 @@ class Counter:
     """Cuts texts into parts and counts the tokens of each part with the library, once per part seen."""
 
     def __init__(self, source: str, remember: int = 150_000):
+        # tasks are the unit of parallelism: no threads inside them
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(source)
@@ -101,6 +104,17 @@ class Counter:
         return np.diff(np.r_[starts[new], len(text)]).tolist(), np.diff(np.r_[new, len(word)]).tolist()
 
 
+_COUNTERS: dict[int, Counter] = {}
+
+
+def counter_of(source: str) -> Counter:
+    """One counter per worker process and vocabulary, kept over tasks: loading takes time and memory."""
+    if (key := hash(source)) not in _COUNTERS:
+        _COUNTERS.clear()
+        _COUNTERS[key] = Counter(source)
+    return _COUNTERS[key]
+
+
 def _chunks(size: int, overlap: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1):
@@ -120,7 +134,7 @@ def _bounds(source, size: int, overlap: int):
     """Per chunk: its tokens, and the word starts in both overlaps with the tokens before each."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(source.value)
+        counter = counter_of(source.value)
         for batch in slices(batches, "text", 1 << 20):
             columns: dict[str, list] = {c: [] for c in ("total", "left_at", "left_before", "right_at", "right_before")}
             texts = batch.column("text").to_pylist()
@@ -197,7 +211,7 @@ def count_tokens(
     long = F.length("text") > size
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(source.value)
+        counter = counter_of(source.value)
         for batch in slices(batches, "text", 1 << 20):
             texts = batch.column("text").to_pylist()
             tokens = pa.array([sum(n) for _, n in counter.cut(texts)], pa.int64())
