@@ -79,7 +79,7 @@ def train(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
-    sample_rows: int = 16_000,
+    sample_rows: int = 12_000,
     sample_chars: int = 200_000,
     epochs: int = 3,
 ) -> tuple[np.ndarray, float]:
@@ -140,7 +140,7 @@ def toxicity(
     text_col: str = "text",
     label_col: str = "toxic",
     limit: float = 0.7,
-    sample_rows: int = 16_000,
+    sample_rows: int = 12_000,
 ) -> DataFrame:
     """One row per row of ``docs``: ``id, held_out, score, predicted``.
 
