@@ -35,7 +35,7 @@ def features(texts: list[str | None], bits: int = BITS) -> tuple[np.ndarray, np.
 class Ftrl:
     """Follow-the-regularised-leader, proximal: a learning rate and an L1 threshold per coordinate."""
 
-    def __init__(self, size: int, alpha: float = 0.1, beta: float = 1.0, l1: float = 0.5, l2: float = 1.0):
+    def __init__(self, size: int, alpha: float = 1.0, beta: float = 1.0, l1: float = 8.0, l2: float = 0.1):
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z, self.n = np.zeros(size), np.zeros(size)
         self.bias_z, self.bias_n = 0.0, 0.0
@@ -81,7 +81,7 @@ def train(
     label_col: str = "toxic",
     sample_rows: int = 12_000,
     sample_chars: int = 200_000,
-    epochs: int = 3,
+    epochs: int = 5,
 ) -> tuple[np.ndarray, float]:
     """Weights and intercept from the labelled texts.
 
