@@ -263,15 +263,17 @@ def threshold_acres(df: DataFrame, keys: Sequence[str], regions: Sequence[str],
     )
 
 
-def aggregate_by_plan(df: DataFrame, keys: Sequence[str], plan: dict[str, Sequence[str]], split_by: str | None = None, split_keys: Sequence[str] = ()) -> DataFrame:
-    """Aggregate columns by a {column: [functions]} plan.
+def aggregate_by_plan(df: DataFrame, keys: Sequence[str], plan: dict[str, Sequence[str]], split_by: str | None = None, split_keys: Sequence[str] = (), order: str | None = None) -> DataFrame:
+    """Aggregate columns by a {column: [functions]} plan; ``first`` is the value at the smallest ``order``.
 
     With ``split_by`` (a boolean column), flagged rows are grouped by
     ``split_keys`` as well while the others are not.
     """
+    if order is None and any("first" in fs for fs in plan.values()):
+        raise ValueError("first needs an order column")
     functions = {
         "mean": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "count": F.count,
-        "std": F.stddev_samp, "any": lambda c: F.max(F.col(c).cast("int")), "first": F.min,
+        "std": F.stddev_samp, "any": lambda c: F.max(F.col(c).cast("int")), "first": lambda c: F.min_by(c, order),
     }
     exprs = [functions[f](c).alias(f"{c}_{f}") for c, fs in plan.items() for f in fs]
     if split_by is None:

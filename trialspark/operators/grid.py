@@ -243,14 +243,25 @@ def environment_clusters(df: DataFrame, sides: dict[str, tuple[Sequence[str], st
     """K-means per side (weather, soil), clusters named by a column's order, labels joined to one.
 
     ``sides`` maps a side name to (columns, naming column, words from low to high).
+    A place with a missing value on a side stays, without a cluster there and
+    without a joined label.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import StandardScaler, VectorAssembler
 
     out = df
     for side, (columns, by, words) in sides.items():
-        vector = VectorAssembler(inputCols=list(columns), outputCol="_raw", handleInvalid="skip").transform(out)
+        whole = F.lit(True)
+        for c in columns:
+            whole = whole & F.coalesce(~F.isnan(F.col(c).cast("double")), F.lit(False))
+        rest = out.filter(~whole)
+        vector = VectorAssembler(inputCols=list(columns), outputCol="_raw").transform(out.filter(whole))
         scaled = StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True).fit(vector).transform(vector)
         model = KMeans(k=k, seed=seed, featuresCol="_scaled", predictionCol=side).fit(scaled)
-        out = label_clusters(model.transform(scaled).drop("_raw", "_scaled"), side, by, words)
-    return out.withColumn("Env_Cluster", F.concat_ws("_", *[f"{s}_label" for s in sides]))
+        named = label_clusters(model.transform(scaled).drop("_raw", "_scaled"), side, by, words)
+        out = named.unionByName(rest, allowMissingColumns=True)
+    labels = [F.col(f"{s}_label") for s in sides]
+    known = F.lit(True)
+    for c in labels:
+        known = known & c.isNotNull()
+    return out.withColumn("Env_Cluster", F.when(known, F.concat_ws("_", *labels)))

@@ -84,8 +84,6 @@ def running_totals(
     order_col: str,
     sums: dict[str, Column],
     descending: bool = False,
-    blocks: int = 64,
-    whole_below: int = 100_000,
 ) -> DataFrame:
     """Running sums over the distinct values of ``order_col`` inside each key.
 
@@ -93,10 +91,10 @@ def running_totals(
     the running sums up to and including them (``cum_name``). ``sums`` maps names
     to per-row expressions. ``order_col`` must be numeric and not null.
 
-    Ties collapse first. A key left with more than ``whole_below`` values is cut
-    into at most ``blocks`` blocks near its quantiles; only one row per block
-    takes part in the ordered pass over such a key, so it spreads over that many
-    tasks. The cuts steer the spread, not the result. Smaller keys are one block.
+    Ties collapse first. The cells are then dealt out by ranges of key and value
+    and written once with the number of their range; a key that fills several
+    ranges spreads over as many tasks, and one row per key and range carries the
+    sums of the ranges before it.
     """
     keys = list(keys)
     work = df
@@ -104,18 +102,13 @@ def running_totals(
         keys, work = ["_all"], df.withColumn("_all", F.lit(1))
     names = list(sums)
     cells = work.groupBy(*keys, order_col).agg(*[F.sum(v).alias(k) for k, v in sums.items()])
-    sizes = cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n_cells"))
-    hot = null_safe_join(cells, sizes.filter(F.col("_n_cells") > whole_below).drop("_n_cells"), keys, "left_semi")
-    steps = F.array(*[F.lit(i / blocks) for i in range(1, blocks)])
-    cuts = hot.groupBy(*keys).agg(F.percentile_approx(order_col, steps, F.lit(blocks * 20)).alias("_cuts"))
-    place = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(order_col))), F.lit(0))
-    placed = null_safe_join(cells, cuts, keys, "left").withColumn("_block", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(place))
+    placed = cut_lineage(cells.repartitionByRange(*keys, order_col).withColumn("_block", F.spark_partition_id()))
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    per_block = placed.filter(F.col("_cuts").isNotNull()).groupBy(*keys, "_block").agg(*[F.sum(n).alias(f"_b_{n}") for n in names])
+    per_block = placed.groupBy(*keys, "_block").agg(*[F.sum(n).alias(f"_b_{n}") for n in names])
     before = Window.partitionBy(*keys).orderBy(direction("_block")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_block.select(*keys, "_block", *[F.sum(f"_b_{n}").over(before).alias(f"_o_{n}") for n in names])
     inside = Window.partitionBy(*keys, "_block").orderBy(direction(order_col)).rowsBetween(Window.unboundedPreceding, 0)
-    out = placed.drop("_cuts").withColumns({f"cum_{n}": F.sum(n).over(inside) for n in names})
+    out = placed.withColumns({f"cum_{n}": F.sum(n).over(inside) for n in names})
     out = null_safe_join(out, offsets, [*keys, "_block"], "left")
     out = out.withColumns({f"cum_{n}": F.col(f"cum_{n}") + F.coalesce(F.col(f"_o_{n}"), F.lit(0)) for n in names})
     return out.drop("_block", "_all", *[f"_o_{n}" for n in names])

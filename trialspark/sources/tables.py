@@ -122,15 +122,17 @@ def replace_slice(old: DataFrame, new: DataFrame, inside: Column) -> DataFrame:
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Insert ``new`` and let it win over rows of ``old`` with the same key."""
-    return replace_groups(old, new.dropDuplicates(list(keys)), keys)
+    """Insert ``new`` and let it win over rows of ``old`` with the same key; of several new rows the smallest wins."""
+    w = Window.partitionBy(*keys).orderBy(*[c for c in new.columns if c not in keys] or keys)
+    once = new.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return replace_groups(old, once, keys)
 
 
 def append_log(log: DataFrame, batch: DataFrame, keys: Sequence[str], run_col: str, keep: str = "last") -> DataFrame:
-    """Append a batch of results and keep the first or the last run of each key."""
+    """Append a batch of results and keep the first or the last run of each key; of equal runs the smallest row."""
     order = F.col(run_col).desc() if keep == "last" else F.col(run_col).asc()
-    w = Window.partitionBy(*keys).orderBy(order)
     stacked = log.unionByName(batch, allowMissingColumns=True)
+    w = Window.partitionBy(*keys).orderBy(order, *[c for c in stacked.columns if c not in (*keys, run_col)])
     return stacked.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
