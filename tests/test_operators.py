@@ -35,7 +35,7 @@ def test_nearest_matches_brute_force(spark):
     rng = np.random.default_rng(3)
     pts = pd.DataFrame({"p": np.arange(300), "lat": rng.uniform(-60, 60, 300), "lon": rng.uniform(-180, 180, 300)})
     qs = pd.DataFrame({"q": np.arange(40), "lat": rng.uniform(-60, 60, 40), "lon": rng.uniform(-180, 180, 40)})
-    got = L.nearest(spark.createDataFrame(pts).repartition(5), spark.createDataFrame(qs), "p", "q", ["lat", "lon"], 4, L.great_circle, slice_rows=15).toPandas()
+    got = L.nearest(spark.createDataFrame(pts).repartition(5), spark.createDataFrame(qs), "p", "q", ["lat", "lon"], 4, L.great_circle, block_rows=15).toPandas()
     d = L.great_circle(qs[["lat", "lon"]].to_numpy(), pts[["lat", "lon"]].to_numpy())
     for q in range(40):
         assert got[got.q == q].sort_values("rank").p.tolist() == np.lexsort((pts.p, d[q]))[:4].tolist()

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialspark.operators.keyed import null_safe_join, salted_join, top_per_key
+from trialspark.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -182,15 +183,6 @@ def overlay(df: DataFrame, adjusted: DataFrame, keys: Sequence[str], column: str
     return joined.withColumn(column, F.coalesce("_adjusted", column)).drop("_adjusted")
 
 
-def _slices(df: DataFrame, id_col: str, limit: int) -> list[DataFrame]:
-    """Cut ``df`` into parts of about ``limit`` rows by a hash of its id."""
-    parts = max(1, -(-df.count() // limit))
-    if parts == 1:
-        return [df]
-    part = F.pmod(F.xxhash64(id_col), F.lit(parts))
-    return [df.filter(part == i) for i in range(parts)]
-
-
 def nearest(
     points: DataFrame,
     queries: DataFrame,
@@ -199,15 +191,18 @@ def nearest(
     coordinates: Sequence[str] | str,
     k: int,
     distance: Callable[[np.ndarray, np.ndarray], np.ndarray],
-    slice_rows: int = 4096,
+    block_rows: int = 4096,
 ) -> DataFrame:
-    """Exact k nearest points of every query.
-
-    ``coordinates`` names the coordinate columns, or one array column. The
-    queries travel to the points in slices of bounded size, one pass over the
-    points per slice. A task keeps only the best k of each query across its own
-    batches, so what is shuffled is at most k rows per query and task. Ties go
-    to the smaller point id.
+    """Exact k nearest points of every query, for a ``distance`` that obeys the triangle inequality.
+
+    ``coordinates`` names the coordinate columns, or one array column; rows
+    with a missing coordinate have no neighbours and are nobody's. Points form
+    cells around pivots, one pivot per block of points up to 1,024. The
+    distances of a cell's k innermost points to their pivot bound how far a
+    query's k-th neighbour can be, so a query only visits cells that reach into
+    that radius. Cells and their visitors are cut into blocks of about
+    ``block_rows``, and blocks meet in pairs; a task returns k rows per query.
+    Ties go to the smaller point id.
     """
     names = [coordinates] if isinstance(coordinates, str) else list(coordinates)
     stacked = isinstance(coordinates, str)
@@ -217,43 +212,90 @@ def nearest(
             return np.stack(pdf[names[0]].to_numpy()).astype(float)
         return pdf[names].to_numpy(dtype=float)
 
-    schema = f"{query_id} {dict(queries.dtypes)[query_id]}, {point_id} {dict(points.dtypes)[point_id]}, distance double"
+    def whole(df: DataFrame, key: str) -> DataFrame:
+        out = df.select(key, *[F.col(c).cast(kind).alias(c) for c in names])
+        return out.filter(F.forall(names[0] if stacked else F.array(*names), lambda x: x.isNotNull() & ~F.isnan(x)))
+
     spark = points.sparkSession
-    out = None
-    for part in _slices(queries, query_id, slice_rows):
-        local = part.select(query_id, *names).toPandas()
-        if local.empty:
-            continue
-        shared = spark.sparkContext.broadcast((local[query_id].to_numpy(), matrix(local)))
-
-        def local_best(batches):
-            ids, targets = shared.value
-            best_d = np.full((len(ids), k), np.inf)
-            best_p = np.zeros((len(ids), k), dtype=object)
-            for pdf in batches:
-                if pdf.empty:
-                    continue
-                pid = pdf[point_id].to_numpy()
-                d = np.concatenate([best_d, distance(targets, matrix(pdf))], axis=1)
-                p = np.concatenate([best_p, np.broadcast_to(pid.astype(object), (len(ids), len(pid)))], axis=1)
-                for row in range(len(ids)):
-                    keep = np.lexsort((p[row], d[row]))[:k] if p.shape[1] < 4 * k else _smallest(d[row], p[row], k)
-                    best_d[row], best_p[row] = d[row][keep], p[row][keep]
-            rows, cols = np.where(np.isfinite(best_d))
-            yield pd.DataFrame({query_id: ids[rows], point_id: best_p[rows, cols], "distance": best_d[rows, cols]})
-
-        found = points.select(point_id, *names).mapInPandas(local_best, schema)
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        out = spark.createDataFrame([], schema)
-    return top_per_key(out, [query_id], ["distance", point_id], k, rank_col="rank")
-
-
-def _smallest(d: np.ndarray, p: np.ndarray, k: int) -> np.ndarray:
-    """Indices of the k smallest distances, ties by point id."""
-    bound = np.partition(d, k - 1)[k - 1]
-    near = np.flatnonzero(d <= bound)
-    return near[np.lexsort((p[near], d[near]))][:k]
+    kind = "array<double>" if stacked else "double"
+    query_type, point_type = dict(queries.dtypes)[query_id], dict(points.dtypes)[point_id]
+    kinds = ", ".join(f"`{n}` {kind}" for n in names)
+    schema = f"`{query_id}` {query_type}, `{point_id}` {point_type}, distance double"
+    points, queries = whole(points, point_id), whole(queries, query_id)
+
+    n_pivots = min(1024, -(-points.count() // block_rows))
+    if not n_pivots:
+        return spark.createDataFrame([], f"{schema}, rank int")
+    # at most 1,024 rows reach the driver; which rows they are only changes the work, not the result
+    pivots = matrix(points.orderBy(F.xxhash64(point_id), point_id).limit(n_pivots).toPandas())
+
+    def to_cells(batches):
+        for pdf in batches:
+            for a in range(0, len(pdf), 1024):
+                part = pdf.iloc[a:a + 1024]
+                d = distance(matrix(part), pivots)
+                cell = d.argmin(axis=1)
+                yield part.assign(_cell=cell.astype(np.int32), _inner=d[np.arange(len(d)), cell])
+
+    placed = cut_lineage(points.mapInPandas(to_cells, f"`{point_id}` {point_type}, {kinds}, _cell int, _inner double"))
+    sizes = placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"), F.min("_inner").alias("_low"), F.max("_inner").alias("_high"))
+    sizes = cut_lineage(sizes)
+    innermost = top_per_key(placed.select("_cell", "_inner", point_id), ["_cell"], ["_inner", point_id], k, rank_col="_rank")
+    cells, inner = sizes.toPandas(), innermost.toPandas()  # one row, and k rows, per pivot
+    low, high = np.full(n_pivots, np.inf), np.full(n_pivots, -np.inf)
+    low[cells["_cell"]], high[cells["_cell"]] = cells["_low"], cells["_high"]
+    at, spread = inner["_cell"].to_numpy(), inner["_inner"].to_numpy()
+
+    def to_visits(batches):
+        for pdf in batches:
+            for a in range(0, len(pdf), 256):
+                part = pdf.iloc[a:a + 256]
+                d = distance(matrix(part), pivots)
+                if len(at) >= k:
+                    reach = np.partition(d[:, at] + spread, k - 1, axis=1)[:, k - 1]
+                else:
+                    reach = np.full(len(d), np.inf)
+                reach = reach * (1 + 1e-9) + 1e-6  # rounding of the distances
+                rows, cols = np.nonzero(np.maximum(d - high, low - d) <= reach[:, None])
+                yield part.iloc[rows].assign(_cell=cols.astype(np.int32))
+
+    visits = cut_lineage(queries.mapInPandas(to_visits, f"`{query_id}` {query_type}, {kinds}, _cell int"))
+
+    def blocks_of(n: str) -> Column:
+        return F.ceil(F.col(n) / block_rows).cast("int")
+
+    visitors = visits.groupBy("_cell").agg(F.count(F.lit(1)).alias("_visits"))
+    plan = sizes.join(visitors, "_cell").select("_cell", blocks_of("_n").alias("_pn"), blocks_of("_visits").alias("_qn"))
+    plan = cut_lineage(plan)  # one row per pivot
+
+    def blocked(df: DataFrame, key: str, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
+        out = df.join(F.broadcast(plan), "_cell").withColumn(own, F.pmod(F.xxhash64(key), F.col(own_n)).cast("int"))
+        return out.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1))).drop("_pn", "_qn")
+
+    pair = ["_cell", "_pb", "_qb"]
+    left = blocked(visits, query_id, "_qb", "_qn", "_pb", "_pn").groupBy(*pair)
+    right = blocked(placed.drop("_inner"), point_id, "_pb", "_pn", "_qb", "_qn").groupBy(*pair)
+
+    def best(asked: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
+        there = there.sort_values(point_id, ignore_index=True)  # equal distances then stand in order of their ids
+        found = []
+        places, ids = (matrix(there) if len(there) else None), there[point_id].to_numpy()
+        for a in range(0, len(asked) if len(there) else 0, 512):
+            part = asked.iloc[a:a + 512]
+            d = distance(matrix(part), places)
+            order = np.argsort(d, axis=1, kind="stable")[:, :k]
+            found.append(
+                pd.DataFrame(
+                    {
+                        query_id: np.repeat(part[query_id].to_numpy(), order.shape[1]),
+                        point_id: ids[order.ravel()],
+                        "distance": np.take_along_axis(d, order, axis=1).ravel(),
+                    }
+                )
+            )
+        return pd.concat(found) if found else pd.DataFrame(columns=[query_id, point_id, "distance"])
+
+    return top_per_key(left.cogroup(right).applyInPandas(best, schema), [query_id], ["distance", point_id], k, rank_col="rank")
 
 
 def great_circle(a: np.ndarray, b: np.ndarray, radius: float = 6371.0) -> np.ndarray:
