@@ -281,7 +281,7 @@ def test_similarity_and_greedy_choice(spark):
     calls = [(int(s), int(v), int(rng.integers(1, 4))) for s in range(14) for v in range(30) if rng.random() < 0.7]
     calls += [(99, 1000, 2)]  # shares no variant with anyone
     df = spark.createDataFrame(calls, "s int, v int, c int")
-    got = {(r.s, r.bench_s): r.similarity for r in GT.similarity(df, df, "s", "v", "c", slice_bytes=1000).collect()}
+    got = {(r.s, r.bench_s): r.similarity for r in GT.similarity(df, df, "s", "v", "c", block_cells=100).collect()}
     table = {}
     for s, v, c in calls:
         table.setdefault(s, {})[v] = c
