@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialspark.operators.aggregates import percentiles, unpivot
+from trialspark.operators.keyed import modes
 
 # Floor of a spread, and centre over spread of the 1 to 9 rating scale.
 SPREAD_FLOOR = 1e-5
@@ -42,8 +43,8 @@ def fit_filler(train: DataFrame, numeric: Sequence[str] = (), text: Sequence[str
     if numeric:
         fills |= {c: v["m"] for c, v in column_percentiles(train, numeric, {"m": 0.5}).items()}
     if text:
-        row = train.agg(*[F.mode(c, True).alias(c) for c in text]).first()
-        fills |= {c: row[c] for c in text if row[c] is not None}
+        row = modes(train, [], text).first()
+        fills |= {c: row[c] for c in text if row and row[c] is not None}
     return lambda df: df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fills.items() if c in df.columns})
 
 

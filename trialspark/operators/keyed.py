@@ -38,6 +38,19 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     return out.withColumnRenamed("_rn", rank_col) if rank_col else out.drop("_rn")
 
 
+def modes(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The most frequent known value of each column per key, the smallest among equals.
+
+    All columns are counted per value in one pass; only counts are ranked, so no
+    task holds the rows of a key. A column without known values reads null.
+    """
+    place = F.coalesce(*[F.when(F.grouping(c) == 0, F.lit(i)) for i, c in enumerate(columns)])
+    counts = df.groupingSets([[*keys, c] for c in columns], *keys, *columns).agg(place.alias("_column"), F.count(F.lit(1)).alias("_n"))
+    unknown = F.coalesce(*[F.when(F.col(c).isNotNull(), F.lit(0)) for c in columns], F.lit(1))
+    best = top_per_key(counts, [*keys, "_column"], [unknown, "-_n", *columns])
+    return best.groupBy(*keys).agg(*[F.max(c).alias(c) for c in columns])
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where a null key meets a null key; keys appear once."""
     other = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialspark.operators.aggregates import first_value
-from trialspark.operators.keyed import top_per_key
+from trialspark.operators.keyed import modes, top_per_key
 from trialspark.operators.lookup import parent_attributes
 from trialspark.operators.reshape import stack_roles
 
@@ -66,7 +66,7 @@ def consolidate(df: DataFrame, level: str, columns: Sequence[str], how: str = "m
     """One value per column and id: the most frequent (smallest among equals) or the first known."""
     rows = df.filter(known(F.col(level).cast("string")))
     if how == "mode":
-        return rows.groupBy(level).agg(*[F.mode(c, True).alias(c) for c in columns])
+        return modes(rows, [level], columns)
     return rows.groupBy(level).agg(*[first_value(c, F.struct(F.col(order), F.col(c))).alias(c) for c in columns])
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialspark.operators import aggregates as A
+from trialspark.operators.keyed import modes
 from trialspark.plans.registry import Tables, plan
 from trialspark.plans.views import GRID, TRIAL, grid, trial, with_clauses
 
@@ -45,9 +46,7 @@ d AS (SELECT l_suppkey, l_returnflag, count(*) AS n FROM lineitem GROUP BY ALL)
 SELECT l_suppkey, l_linenumber, l_returnflag FROM (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY n DESC, l_linenumber) = 1)
 JOIN (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY n DESC, l_returnflag) = 1) USING (l_suppkey)""")
 def modes_per_group(t: Tables) -> DataFrame:
-    return t.lineitem.groupBy("l_suppkey").agg(
-        F.mode("l_linenumber", True).alias("l_linenumber"), F.mode("l_returnflag", True).alias("l_returnflag")
-    )
+    return modes(t.lineitem, ["l_suppkey"], ["l_linenumber", "l_returnflag"])
 
 
 @plan("A5 T1 W3", """
