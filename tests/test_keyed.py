@@ -40,6 +40,7 @@ def test_salted_join_equals_join(skewed, spark):
     df, _ = skewed
     small = spark.createDataFrame([("hot", 1), ("3", 2), ("none", 3)], "k string, v int")
     assert K.salted_join(df, small, ["k"], ["x"]).count() == df.join(small, "k").count()
+    assert K.salted_join(df, small, ["k"], ["x"], key_rows=3).count() == df.join(small, "k").count()
 
 
 def test_top_per_key_limits_before_the_shuffle(skewed):

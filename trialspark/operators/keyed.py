@@ -144,14 +144,19 @@ def group_ranks(df: DataFrame, keys: Sequence[str], order_col: str, descending:
     return out
 
 
-def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], spread_by: Sequence[str], salts: int = 8, how: str = "inner") -> DataFrame:
+def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], spread_by: Sequence[str], key_rows: int = 500_000, how: str = "inner") -> DataFrame:
     """Join where a key may be hot on the big side.
 
-    Rows of ``big`` are spread over ``salts`` sub-keys by a hash of
-    ``spread_by``; ``small`` is repeated once per sub-key.
+    The rows of every key of ``big`` are counted. A key of more than
+    ``key_rows`` is spread over as many sub-keys as it has that many rows, by a
+    hash of ``spread_by``, and only the rows of ``small`` with such a key are
+    repeated, once per sub-key. There are at most rows / ``key_rows`` hot keys.
     """
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
+    counts = big.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > key_rows)
+    hot = counts.select(*on, F.ceil(F.col("_rows") / key_rows).alias("_salts"))
+    salts = F.coalesce("_salts", F.lit(1))
+    left = big.join(hot, list(on), "left").withColumn("_salt", F.pmod(F.xxhash64(*spread_by), salts)).drop("_salts")
+    right = small.join(hot, list(on), "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))).drop("_salts")
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 

@@ -107,12 +107,12 @@ def range_candidates(left: DataFrame, right: DataFrame, equal: Sequence[str], le
 
     Values are cut into strips as wide as the threshold. A left row can only
     meet rows of its own strip and the two next to it, so it is copied to those
-    three and the join becomes an equi-join.
+    three and the join becomes an equi-join; strips with many rows are split.
     """
     strip = F.floor(F.col(left_value) / within)
     l = left.withColumn("_strip", F.explode(F.array(strip - 1, strip, strip + 1)))
     r = right.withColumn("_strip", F.floor(F.col(right_value) / within))
-    joined = l.join(r, [*equal, "_strip"]).drop("_strip")
+    joined = salted_join(l, r, [*equal, "_strip"], left.columns).drop("_strip")
     return joined.filter(F.abs(F.col(left_value) - F.col(right_value)) <= within)
 
 
