@@ -35,12 +35,11 @@ e AS (SELECT *, (1 - r2) * syy / (n - 2) AS v FROM s),
 q AS (SELECT *, sqrt(v / sxx) AS slope_stderr, sqrt(v * (1 / n + mx * mx / sxx)) AS intercept_stderr FROM e),
 x AS (SELECT *, slope / slope_stderr AS slope_t, intercept / intercept_stderr AS intercept_t, r2 / (1 - r2) * (n - 2) AS f FROM q)
 SELECT nation_id, trait, n, slope, intercept, r2, 1 - (1 - r2) * (n - 1) / (n - 2) AS adj_r2, slope_stderr, slope_t, f AS f_stat, round({f_sf_sql("f", "1.0", "n - 2")}, 6) AS f_p,
-  round({beta_sql("((n - 2) / ((n - 2) + slope_t * slope_t))", "((n - 2) / 2.0)", "0.5")}, 6) AS slope_p FROM x""")
+  round({beta_sql("((n - 2) / ((n - 2) + slope_t * slope_t))", "((n - 2) / 2.0)", "0.5")}, 6) AS slope_p, intercept_stderr, intercept_t,
+  round({beta_sql("((n - 2) / ((n - 2) + intercept_t * intercept_t))", "((n - 2) / 2.0)", "0.5")}, 6) AS intercept_p FROM x""")
 def line_with_coefficient_tests(t: Tables) -> DataFrame:
     out = M.least_squares(trial(t), ["nation_id", "trait"], "value", "price")
-    return out.withColumns({"f_p": F.round("f_p", 6), "slope_p": F.round("slope_p", 6)}).drop(
-        "intercept_stderr", "intercept_t", "intercept_p"
-    )
+    return out.withColumns({p: F.round(p, 6) for p in ("f_p", "slope_p", "intercept_p")})
 
 
 _CALIBRATION = with_clauses(TRIAL, PREDICTIONS) + """,

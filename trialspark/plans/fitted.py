@@ -116,7 +116,7 @@ def class_separation_by_feature(t: Tables) -> DataFrame:
     return out.withColumns({"f_stat": F.round("f_stat", 6), "p_value": F.round("p_value", 4)})
 
 
-@plan("V16")
+@plan("V16", "SELECT l_quantity + l_linenumber > 28 AS late, avg(l_quantity) AS qty, avg(l_tax) AS tax FROM lineitem GROUP BY 1")
 def chosen_features(t: Tables) -> DataFrame:
     x = t.lineitem.withColumns(
         {"late": F.col("l_quantity") + F.col("l_linenumber") > 28, "qty_pct": F.col("l_quantity") * 2 + 1, "price": F.col("l_extendedprice"), "qty": F.col("l_quantity"), "tax": F.col("l_tax")}

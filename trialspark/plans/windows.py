@@ -165,11 +165,9 @@ def unions(t: Tables) -> DataFrame:
 
 @plan("T6 V9", """
 SELECT p_brand, p_partkey, row_number() OVER w <= sum(CAST(p_size > 40 AS INTEGER)) OVER (PARTITION BY p_brand) AS recommended
-FROM part WINDOW w AS (PARTITION BY p_brand ORDER BY p_retailprice DESC)
-QUALIFY count(*) OVER (PARTITION BY p_brand, p_retailprice) = 1""")
+FROM part WINDOW w AS (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey)""")
 def score_ordered_cut(t: Tables) -> DataFrame:
     from trialspark.operators.evaluation import recommended_cut
 
     part = t.part.withColumn("was_adv", F.col("p_size") > 40)
-    cut = recommended_cut(part, ["p_brand"], "p_retailprice", "was_adv")
-    return keyed.keep_unique(cut, ["p_brand", "p_retailprice"]).select("p_brand", "p_partkey", "recommended")
+    return recommended_cut(part, ["p_brand"], "p_retailprice", "was_adv", by=["p_partkey"]).select("p_brand", "p_partkey", "recommended")
