@@ -187,18 +187,30 @@ def later_advancement_test(t: Tables) -> DataFrame:
     return E.future_separation(_scored(t), ["grp"], "score", "was_adv", "was_adv_next").withColumn("p_value", F.round("p_value", 6))
 
 
+_PR_PIECES = ",\n".join(
+    f"{name} AS (WITH {_PR_SQL.format(k=k, y=y, d=d, p=p)})"
+    for name, k, y, d, p in (
+        ("pr_adv", "grp,", "was_adv", "DESC", "PARTITION BY grp"), ("pr_not", "grp,", "NOT was_adv", "ASC", "PARTITION BY grp"),
+        ("pr_adv_all", "", "was_adv", "DESC", ""), ("pr_not_all", "", "NOT was_adv", "ASC", ""),
+    )
+) + """,
+pr AS (SELECT grp, 'auc_pr_adv' AS metric, round(v, 9) AS value FROM pr_adv UNION ALL SELECT grp, 'auc_pr_notadv', round(v, 9) FROM pr_not
+  UNION ALL SELECT 'all', 'auc_pr_adv', round(v, 9) FROM pr_adv_all UNION ALL SELECT 'all', 'auc_pr_notadv', round(v, 9) FROM pr_not_all)"""
+
+
 @plan("V12", f"""WITH {_SCORED_SQL},
 c AS (SELECT grp, score, sum(CAST(was_adv AS INTEGER)) AS pos, count(*) AS n FROM scored GROUP BY ALL UNION ALL SELECT 'all', score, sum(CAST(was_adv AS INTEGER)), count(*) FROM scored GROUP BY score),
 w AS (SELECT *, sum(n) OVER (PARTITION BY grp ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cn, sum(pos) OVER (PARTITION BY grp) AS ap, sum(n) OVER (PARTITION BY grp) AS an FROM c),
 k AS (SELECT *, greatest(0, least(n, ap - (cn - n))) AS taken FROM w),
 m AS (SELECT grp, sum(taken * pos / n) AS TP, sum(taken * (n - pos) / n) AS FP, max(ap) AS p, max(an) AS n FROM k GROUP BY grp),
 u AS (SELECT grp, 'TP' AS metric, CAST(TP AS DOUBLE) AS value FROM m UNION ALL SELECT grp, 'FP', FP FROM m UNION ALL SELECT grp, 'FN', p - TP FROM m UNION ALL SELECT grp, 'TN', n - p - FP FROM m UNION ALL SELECT grp, 'n', n FROM m
-  UNION ALL SELECT grp, 'balanced_acc', round((TP / p + (n - p - FP) / (n - p)) / 2, 9) FROM m)
-SELECT 'total' AS mdl, grp AS decision_group, metric, value FROM u""")
+  UNION ALL SELECT grp, 'balanced_acc', round((TP / p + (n - p - FP) / (n - p)) / 2, 9) FROM m),
+{_PR_PIECES}
+SELECT 'total' AS mdl, grp AS decision_group, metric, value FROM (FROM u UNION ALL FROM pr)""")
 def metrics_per_group(t: Tables) -> DataFrame:
     out = E.metrics_per_group(_scored(t), "grp", {"total": "score"}, "was_adv")
-    out = out.filter(~F.col("metric").startswith("auc_pr"))
-    return out.withColumn("value", F.when(F.col("metric") == "balanced_acc", F.round("value", 9)).otherwise(F.col("value")))
+    rounded = F.col("metric").isin("balanced_acc", "auc_pr_adv", "auc_pr_notadv")
+    return out.withColumn("value", F.when(rounded, F.round("value", 9)).otherwise(F.col("value")))
 
 
 @plan("V13")
