@@ -88,7 +88,8 @@ def cluster_edges(df: DataFrame, value: str, bins: int, method: str = "mean", ro
 
     Each round is one or two aggregates over the distinct values; the only
     things that reach the driver are the ``bins`` centres. Empty bins keep
-    their centre.
+    their centre. Means that do not settle raise; medians take 25 rounds by
+    definition and may stop before they settle.
     """
     cells = _cells(df, value)
     start = percentiles(df, [], value, {f"c{i}": (i + 0.5) / bins for i in range(bins)}).first()
@@ -104,6 +105,9 @@ def cluster_edges(df: DataFrame, value: str, bins: int, method: str = "mean", ro
         if moved == centres:
             break
         centres = moved
+    else:
+        if method == "mean":
+            raise RuntimeError("bins were not settled when their rounds ran out")
     low, high = cells.agg(F.min("x"), F.max("x")).first()
     return [low, *_midpoints(sorted(centres)), high]
 

@@ -272,12 +272,12 @@ def recommendation_power(t: Tables) -> DataFrame:
 
 
 @plan("V20 V24 R1 R2", """
-WITH a AS (SELECT l_suppkey AS id, CAST(year(l_shipdate) AS INTEGER) AS yr, avg(l_quantity) FILTER (l_returnflag = 'A') AS q_A, avg(l_quantity) FILTER (l_returnflag = 'R') AS q_R FROM lineitem WHERE l_discount < 0.09 GROUP BY ALL),
+WITH a AS (SELECT l_suppkey AS id, CAST(year(l_shipdate) AS INTEGER) AS yr, avg(l_quantity) FILTER (l_returnflag = 'A') AS q_A, avg(l_quantity) FILTER (l_returnflag = 'R') AS q_R FROM lineitem GROUP BY ALL),
 b AS (SELECT l_suppkey AS id, CAST(year(o_orderdate) AS INTEGER) AS yr, max(o_totalprice) FILTER (o_orderstatus = 'F') AS t_F, max(o_totalprice) FILTER (o_orderstatus = 'O') AS t_O FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL),
 w AS (SELECT id, yr, q_A, q_R, t_F, t_O FROM a LEFT JOIN b USING (id, yr))
 SELECT w.*, p.q_A AS q_A_prev, p.t_O AS t_O_prev FROM w LEFT JOIN w p ON p.id = w.id AND p.yr = w.yr - 1""")
 def all_years_feature_table(t: Tables) -> DataFrame:
-    rows = t.lineitem.filter("l_discount < 0.09").withColumns({"id": F.col("l_suppkey"), "yr": F.year("l_shipdate")})
+    rows = t.lineitem.withColumns({"id": F.col("l_suppkey"), "yr": F.year("l_shipdate")})
     a = R.to_wide(rows, ["id", "yr"], ["l_returnflag"], {"q": F.avg("l_quantity")}, ["A", "R"])
     o = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumns({"id": F.col("l_suppkey"), "yr": F.year("o_orderdate")})
     b = R.to_wide(o, ["id", "yr"], ["o_orderstatus"], {"t": F.max("o_totalprice")}, ["F", "O"])

@@ -187,12 +187,12 @@ def rounded_coordinate_join(t: Tables) -> DataFrame:
 
 
 @plan("J20", """
-WITH a AS (SELECT l_partkey AS id, year(l_shipdate) AS yr, max(l_quantity) AS v FROM lineitem WHERE l_quantity > 40 GROUP BY ALL),
+WITH a AS (SELECT l_partkey AS id, year(l_shipdate) AS yr, max(l_quantity) AS v FROM lineitem GROUP BY ALL),
 al AS (SELECT p_partkey AS id, p_brand || p_type || p_size AS code FROM part),
 inh AS (SELECT b.id, yr, max(v) AS v FROM a JOIN al x ON a.id = x.id JOIN al b ON b.code = x.code GROUP BY ALL)
 SELECT id, CAST(yr AS INTEGER) AS yr, max(v) AS v FROM (SELECT * FROM a UNION ALL SELECT * FROM inh) GROUP BY ALL""")
 def alias_expansion(t: Tables) -> DataFrame:
-    rows = t.lineitem.filter("l_quantity > 40").groupBy(F.col("l_partkey").alias("id"), F.year("l_shipdate").alias("yr")).agg(F.max("l_quantity").alias("v"))
+    rows = t.lineitem.groupBy(F.col("l_partkey").alias("id"), F.year("l_shipdate").alias("yr")).agg(F.max("l_quantity").alias("v"))
     aliases = t.part.select(F.col("p_partkey").alias("id"), F.concat("p_brand", "p_type", "p_size").alias("code"))
     return lookup.expand_aliases(rows, aliases, "id", "code", ["yr"], "v")
 

@@ -52,12 +52,12 @@ def breakout_flag_fill(t: Tables) -> DataFrame:
 
 
 @plan("W6 W8 W9 H19", with_clauses(TRIAL) + """,
-e AS (SELECT nation_id, entry_id, season_year, count(*) AS stage, avg(value) AS rm FROM trial WHERE season_year < 1996 OR entry_id < 60 GROUP BY ALL),
+e AS (SELECT nation_id, entry_id, season_year, count(*) AS stage, avg(value) AS rm FROM trial GROUP BY ALL),
 s AS (SELECT *, max(season_year) OVER (PARTITION BY nation_id) AS last_year FROM e)
 SELECT nation_id, CASE WHEN count(DISTINCT entry_id) = 1 THEN 'SingleExp' WHEN min(season_year) < max(season_year) THEN 'MynoET' ELSE 'MultiExp' END AS analysis_type,
   max(stage) FILTER (season_year = last_year) AS stage, median(rm) FILTER (season_year = last_year) AS decision_group_rm FROM s GROUP BY nation_id""")
 def group_settings_of_latest_year(t: Tables) -> DataFrame:
-    e = trial(t).filter("season_year < 1996 OR entry_id < 60").groupBy("nation_id", "entry_id", "season_year").agg(
+    e = trial(t).groupBy("nation_id", "entry_id", "season_year").agg(
         F.count(F.lit(1)).alias("stage"), F.avg("value").alias("rm")
     )
     return G.group_settings(e, "nation_id", "entry_id", "season_year", "stage", "rm")
