@@ -210,12 +210,20 @@ def test_massey_matches_listed_games(spark, played):
 
 
 @pytest.mark.parametrize("method", ["massey", "keener"])
-def test_large_leagues_give_the_same_ratings(spark, played, method):
-    _, scores = played
-    small = R.rate(scores, ["league"], "entry", method).toPandas().sort_values(["league", "entry"])
-    solver = {"massey": R._massey_large, "keener": lambda *a: R._keener_large(*a, block=4)}[method]
-    large = solver(scores, ["league"], "entry").toPandas().sort_values(["league", "entry"])
-    assert np.allclose(small.rating, large.rating, atol=1e-7)
+def test_ratings_of_entries_that_never_met(spark, method):
+    rows = [(None, 1, "a", 3.0), (None, 1, "b", 1.0), (None, 2, "c", 9.0), (None, 2, "d", 4.0), (None, 3, "e", 5.0), (1, 1, "a", 2.0)]
+    scores = R.field_scores(spark.createDataFrame(rows, "l int, f int, entry string, s double"), ["l"], ["f"], "entry", "s")
+    got = {(r.l, r.entry): r.rating for r in R.rate(scores, ["l"], "entry", method).collect()}
+    if method == "massey":
+        want = {"a": 1.0, "b": -1.0, "c": 2.5, "d": -2.5, "e": 0.0}
+    else:
+        m = np.full((5, 5), 0.5)
+        m[0, 1], m[1, 0], m[2, 3], m[3, 2] = 3 / 4, 1 / 4, 6 / 7, 1 / 7
+        value, vector = np.linalg.eig(m)
+        lead = np.abs(vector[:, np.argmax(value.real)].real)
+        want = dict(zip("abcde", lead / lead.sum()))
+    assert {e: got[None, e] for e in "abcde"} == pytest.approx(want, abs=1e-9)
+    assert got[1, "a"] == (0.0 if method == "massey" else 1.0) and len(got) == 6
 
 
 def test_keener_is_the_leading_vector(spark, played):
