@@ -51,23 +51,35 @@ def test_top_per_key_limits_before_the_shuffle(skewed):
     assert out.groupBy("k").count().agg(F.max("count")).first()[0] <= 2
 
 
+@pytest.fixture
+def ranges(spark):
+    """Sets the number of ranges that rows are dealt out to, small as they are."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {n: spark.conf.get(n) for n in names}
+    yield lambda n: (spark.conf.set(names[0], n), spark.conf.set(names[1], False))
+    for n, v in before.items():
+        spark.conf.set(n, v)
+
+
 @pytest.mark.parametrize("blocks", [2, 8])
-def test_fill_in_order_matches_pandas(spark, blocks):
+def test_fill_in_order_matches_pandas(spark, blocks, ranges):
+    ranges(blocks)
     rng = np.random.default_rng(2)
     pdf = pd.DataFrame({"k": np.where(rng.random(500) < 0.5, "a", "b"), "o": rng.permutation(500), "v": np.where(rng.random(500) < 0.8, np.nan, rng.random(500))})
     df = spark.createDataFrame(pdf).withColumn("v", F.when(~F.isnan("v"), F.col("v")))
-    got = K.fill_in_order(df, ["k"], ["o"], ["v"], blocks=blocks).toPandas().sort_values("o")
+    got = K.fill_in_order(df, ["k"], ["o"], ["v"]).toPandas().sort_values("o")
     want = pdf.sort_values("o")
     want = want.assign(v=want.groupby("k")["v"].transform(lambda s: s.ffill().bfill()))
     assert np.allclose(got["v"].to_numpy(dtype=float), want["v"].to_numpy(dtype=float))
 
 
-def test_fill_by_date_and_text(spark):
+def test_fill_by_date_and_text(spark, ranges):
+    ranges(4)
     day = datetime.date(2020, 1, 1)
     rows = [("a", day + datetime.timedelta(i), f"t{i:02d}", None if i % 3 else i) for i in range(20)]
     df = spark.createDataFrame(rows, "k string, d date, t string, v int")
     for order in ("d", "t"):
-        got = [r.v for r in K.fill_in_order(df, ["k"], [order], ["v"], blocks=4).orderBy("t").collect()]
+        got = [r.v for r in K.fill_in_order(df, ["k"], [order], ["v"]).orderBy("t").collect()]
         assert got == [i - i % 3 for i in range(20)]
 
 

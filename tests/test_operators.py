@@ -122,22 +122,24 @@ def _curved(rows=400, groups=3, seed=6):
     return pd.DataFrame({"g": g, "x": x, "y": y})
 
 
-def test_small_and_large_robust_fits_agree(spark):
-    df = spark.createDataFrame(_curved())
-    small = M.adjust_robust(df, ["g"], "x", "y").toPandas().sort_values(["g", "x"])
-    large = M.adjust_robust(df, ["g"], "x", "y", group_rows=1).toPandas().sort_values(["g", "x"])
-    assert small.adj_model.tolist() == large.adj_model.tolist()
-    assert np.allclose(small.adjusted_prediction.to_numpy(float), large.adjusted_prediction.to_numpy(float), atol=1e-5)
-    assert small.adj_outlier.tolist() == large.adj_outlier.tolist()
-
-
-def test_huber_fit_is_a_stationary_point():
-    pdf = _curved(200, 1)
-    x = np.vander(pdf.x - pdf.x.mean(), 2, increasing=True)
-    beta, scale = M.huber_fit(x, pdf.y.to_numpy())
-    r = (pdf.y.to_numpy() - x @ beta) / scale
-    assert np.abs(x.T @ np.clip(r, -M.EPSILON, M.EPSILON)).max() < 1e-4 * len(r)
-    assert np.minimum(r**2, M.EPSILON**2).sum() == pytest.approx(len(r), rel=1e-6)
+def test_huber_fits_are_stationary_points(spark):
+    pdf = pd.concat([_curved(400), pd.DataFrame({"g": 9, "x": np.arange(1.0, 11), "y": 2 * np.arange(1.0, 11)}), _curved(30)])
+    rows = M._prepared(spark.createDataFrame(pdf), ["g"], "x", "y")
+    fits = {r.g: r for r in M.huber_fits(rows, ["g"]).collect()}
+    assert fits.keys() == set(pdf.g) and fits[9].linear_c1 == pytest.approx(2.0) and fits[9].linear_scale < 1e-9
+    for g, part in pdf[pdf.g != 9].groupby("g"):
+        for kind, u in (("linear", part.x - part.x.mean()), ("quadratic", part.x - part.x.mean()), ("log", np.log(part.x))):
+            design = np.vander(u, M.DEGREE[kind] + 1, increasing=True)
+            beta, scale = [fits[g][f"{kind}_c{i}"] for i in range(design.shape[1])], fits[g][f"{kind}_scale"]
+            r = ((part.y - part.y.mean()).to_numpy() - design @ beta) / scale
+            assert np.abs(design.T @ np.clip(r, -M.EPSILON, M.EPSILON)).max() < 1e-4 * len(r)
+            assert np.minimum(r**2, M.EPSILON**2).sum() == pytest.approx(len(r), rel=1e-6)
+
+
+def test_robust_adjustment_marks_outliers(spark):
+    pdf = _curved(400)
+    got = M.adjust_robust(spark.createDataFrame(pdf), ["g"], "x", "y").toPandas()
+    assert len(got) == len(pdf) and got.adj_model.notna().all() and 0 < got.adj_outlier.mean() < 0.2
 
 
 def test_least_squares_adjustment_matches_numpy(spark):

@@ -160,48 +160,34 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], spread_by:
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
-def fill_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], backward_too: bool = True, blocks: int = 64) -> DataFrame:
+def fill_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], backward_too: bool = True) -> DataFrame:
     """Fill nulls from the previous row of the key, then from the next one.
 
-    A key is cut into blocks along its first order column. Rows are ordered
-    inside a block only; the nearest known values of the other blocks are carried
-    in from one row per block. The first order column must be a number, a date
-    or a timestamp for that; with a text the key is ordered as a whole.
+    Rows are dealt out by ranges of key and order, written once with the number
+    of their range, and ordered inside a range only; the nearest known values of
+    the other ranges of a key are carried in from one row per range. Rows without
+    an order value come last.
     """
-    kind = dict(df.dtypes)[order[0]]
     ordering = _order(order)
-    if kind == "string":
-        back = Window.partitionBy(*keys).orderBy(*ordering).rowsBetween(Window.unboundedPreceding, 0)
-        ahead = Window.partitionBy(*keys).orderBy(*ordering).rowsBetween(0, Window.unboundedFollowing)
-        carried = {c: (F.lit(None), F.lit(None)) for c in columns}
-        rows = df
-    else:
-        axis = F.unix_date(F.col(order[0])) if kind == "date" else F.col(order[0])
-        axis = (axis.cast("timestamp") if kind.startswith("timestamp") else axis).cast("double")
-        steps = F.array(*[F.lit(i / blocks) for i in range(1, blocks)])
-        cuts = df.groupBy(*keys).agg(F.percentile_approx(axis, steps, F.lit(blocks * 20)).alias("_cuts"))
-        # rows without an order value come last, as in the ordering itself
-        place = F.when(axis.isNull(), F.lit(blocks)).otherwise(F.size(F.filter("_cuts", lambda c: c < axis)))
-        rows = null_safe_join(df, cuts, keys).withColumn("_block", place).drop("_cuts")
-        at = F.struct(*[F.struct(F.col(o).isNull().alias("n"), F.col(o).alias("v")) for o in order])
-        ends = []
-        for c in columns:
-            known = F.col(c).isNotNull()
-            ends += [F.max_by(c, F.when(known, at)).alias(f"_last_{c}"), F.min_by(c, F.when(known, at)).alias(f"_first_{c}")]
-        per_block = rows.groupBy(*keys, "_block").agg(*ends)
-        before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-        after = Window.partitionBy(*keys).orderBy("_block").rowsBetween(1, Window.unboundedFollowing)
-        near = []
-        for c in columns:
-            near += [F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_in_{c}"), F.first(f"_first_{c}", ignorenulls=True).over(after).alias(f"_out_{c}")]
-        rows = null_safe_join(rows, per_block.select(*keys, "_block", *near), [*keys, "_block"])
-        carried = {c: (F.col(f"_in_{c}"), F.col(f"_out_{c}")) for c in columns}
-        back = Window.partitionBy(*keys, "_block").orderBy(*ordering).rowsBetween(Window.unboundedPreceding, 0)
-        ahead = Window.partitionBy(*keys, "_block").orderBy(*ordering).rowsBetween(0, Window.unboundedFollowing)
+    rows = cut_lineage(df.repartitionByRange(*keys, *ordering).withColumn("_block", F.spark_partition_id()))
+    at = F.struct(*[F.struct(F.col(o).isNull().alias("n"), F.col(o).alias("v")) for o in order])
+    ends = []
+    for c in columns:
+        known = F.col(c).isNotNull()
+        ends += [F.max_by(c, F.when(known, at)).alias(f"_last_{c}"), F.min_by(c, F.when(known, at)).alias(f"_first_{c}")]
+    per_block = rows.groupBy(*keys, "_block").agg(*ends)
+    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*keys).orderBy("_block").rowsBetween(1, Window.unboundedFollowing)
+    near = []
+    for c in columns:
+        near += [F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_in_{c}"), F.first(f"_first_{c}", ignorenulls=True).over(after).alias(f"_out_{c}")]
+    rows = null_safe_join(rows, per_block.select(*keys, "_block", *near), [*keys, "_block"])
+    back = Window.partitionBy(*keys, "_block").orderBy(*ordering).rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy(*keys, "_block").orderBy(*ordering).rowsBetween(0, Window.unboundedFollowing)
 
     def value(c: str) -> Column:
-        prior = F.coalesce(F.last(c, ignorenulls=True).over(back), carried[c][0])
-        return F.coalesce(prior, F.first(c, ignorenulls=True).over(ahead), carried[c][1]) if backward_too else prior
+        prior = F.coalesce(F.last(c, ignorenulls=True).over(back), F.col(f"_in_{c}"))
+        return F.coalesce(prior, F.first(c, ignorenulls=True).over(ahead), F.col(f"_out_{c}")) if backward_too else prior
 
     filled = rows.withColumns({f"_v_{c}": value(c) for c in columns})
     return filled.select(*[F.col(f"_v_{c}").alias(c) if c in columns else F.col(c) for c in df.columns])
