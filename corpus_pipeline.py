@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trialspark.llm import bpe, line_dedup, mixing, ngram_join, toxicity
 from trialspark.llm.common import cut_lineage, with_columns_of
-from trialspark.llm.queries import MIX_WEIGHTS, source_domain, vocabulary
+from trialspark.llm.queries import MIX_WEIGHTS, SHORT_LINES, source_domain, vocabulary
 
 #: Share of all tokens that the mixture takes, and how often it may repeat a document.
 MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.9, 2, 7
@@ -22,8 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that repeat an earlier one up to two edits; ``n_chars`` follows the text."""
-    out = line_dedup.remove_near_lines(docs)
+    """Documents without lines that repeat an earlier one up to two edits, short ones one or none; ``n_chars`` follows the text."""
+    out = line_dedup.remove_near_lines(docs, shorter=SHORT_LINES)
     changed = out.withColumns({"text": F.col("line_text"), "n_chars": F.when(F.col("lines_removed") > 0, F.length("line_text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)})
     return with_columns_of(changed, docs)
 

@@ -166,6 +166,30 @@ def test_line_dedup(spark, monkeypatch):
     assert line_dedup.remove_near_lines(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_of_short_lines(spark):
+    random.seed(6)
+    pool = ["".join(random.choice("abc ") for _ in range(random.randrange(1, 24))) for _ in range(90)] + ["Les.", "Of, edti oner.", "Erheed. Titionly.", "abcabcabcabcabcabca", "abcabcabcabcabcabcab"]
+    for _ in range(90):
+        x = list(random.choice(pool))
+        k = random.randrange(len(x))
+        x[k : k + random.randrange(2)] = random.choice(["", "d", "ef"])
+        pool.append("".join(x) or "a")
+    rows = [(d, "\n".join(random.choice(pool) for _ in range(9))) for d in range(60)] + [(60, "\n \n\n"), (61, "Les.\n\nLes.\nLes")]
+    at = [(d, n, " ".join(x.split())) for d, t in rows for n, x in enumerate(t.split("\n")) if x.split()]
+    distinct = sorted({x for _, _, x in at})
+    most = lambda x: 2 if len(x) >= 20 else 1 if len(x) >= 8 else 0
+    links = [(a, b) for i, a in enumerate(distinct) for b in distinct[:i] if levenshtein(a, b) <= min(most(a), most(b))]
+    assert {min(most(a), most(b)) for a, b in links} == {1, 2}
+    top, first, gone = groups_of(distinct, links), {}, defaultdict(set)
+    for d, n, x in at:
+        if first.setdefault(top[x], (d, n)) != (d, n):
+            gone[d].add(n)
+    want = {d: "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone[d]) for d, t in rows}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["line_text"] for r in line_dedup.remove_near_lines(docs, shorter=queries.SHORT_LINES).collect()}
+    assert got == want and got[60] == rows[60][1]
+
+
 def test_bpe_as_the_library(spark, documents, nothing):
     library = Tokenizer.from_file(WORD)
     got = bpe.encode_documents(documents, WORD, digests=True).collect()

@@ -49,9 +49,19 @@ class Rolling:
         return mix64((self.total[a + size] - self.total[a]) * self.back[a] + size.astype(np.uint64))
 
 
-def segment_keys(lines: list[str], distance: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def tiers(distance: int, shortest: int, shorter: tuple[tuple[int, int], ...] = ()) -> list[tuple[int, int | None, int]]:
+    """First length, length of the next tier (None: open) and edit distance of each tier of line lengths."""
+    steps = sorted({**dict(shorter), shortest: distance}.items())
+    if steps[-1][0] != shortest or any(a[1] > b[1] for a, b in zip(steps, steps[1:])):
+        raise ValueError("lengths in shorter must lie below shortest, with distances that do not fall with the length")
+    return [(low, high, d) for (low, d), high in zip(steps, [*[x for x, _ in steps[1:]], None])]
+
+
+def segment_keys(lines: list[str], distance: int, low: int = 0, high: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Key, line and role (1: of the index) of every segment and probe of the lines.
 
+    Lines of ``low`` to under ``high`` characters are indexed.
+
     A line of length ``l`` is cut into ``distance + 1`` even segments; lines
     within the distance share one of them. A longer line probes for segment ``i``
     of the lines of length ``l`` at the places that an alignment with at most
@@ -65,7 +75,7 @@ def segment_keys(lines: list[str], distance: int) -> tuple[np.ndarray, np.ndarra
     keys, rows, roles = [], [], []
     for less in range(parts):
         length = size - less
-        fits = every[length >= parts]
+        fits = every[(length >= max(parts, low)) & (length < (high or np.inf))]
         l_fit, s_fit = length[fits], size[fits]
         for i in range(parts):
             # the last l % parts segments are one character longer
@@ -73,11 +83,11 @@ def segment_keys(lines: list[str], distance: int) -> tuple[np.ndarray, np.ndarra
             longer = parts - l_fit % parts
             seg = short + (i >= longer)
             start = i * short + np.maximum(0, i - longer)
-            low = np.maximum(np.maximum(0, start - i), start + less - (distance - i))
-            high = np.minimum(np.minimum(s_fit - seg, start + i), start + less + (distance - i))
+            least = np.maximum(np.maximum(0, start - i), start + less - (distance - i))
+            most = np.minimum(np.minimum(s_fit - seg, start + i), start + less + (distance - i))
             for step in range(2 * distance + 1):
-                at = low + step
-                inside = at <= high
+                at = least + step
+                inside = at <= most
                 if not inside.any():
                     break
                 line, begin = fits[inside], at[inside]
@@ -90,6 +100,27 @@ def segment_keys(lines: list[str], distance: int) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(keys).astype(np.int64), np.concatenate(rows), np.concatenate(roles)
 
 
+def deletion_keys(lines: list[str], low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Key, line and role (1: of the index) of the lines of ``low`` to under ``high`` characters, whole and without each one character.
+
+    Lines of one edit share such a key. The segments of short lines are so short
+    that very many lines would meet under them. Lines of ``high`` characters
+    only probe.
+    """
+    rolling = Rolling(lines)
+    size = rolling.length
+    whole = np.flatnonzero((size >= low) & (size < high))
+    less = np.flatnonzero((size >= low) & (size <= high))
+    row = np.repeat(less, size[less])
+    at = np.arange(len(row)) - np.repeat(np.cumsum(size[less]) - size[less], size[less])
+    first, gone = rolling.at[row], rolling.at[row] + at
+    rest = rolling.total[first + size[row]] - rolling.total[gone + 1]
+    value = (rolling.total[gone] - rolling.total[first] + rest * rolling.back[0]) * rolling.back[first]
+    keys = [rolling.hash(whole, np.zeros(len(whole), np.int64), size[whole]), mix64(value + (size[row] - 1).astype(np.uint64))]
+    roles = [np.ones(len(whole), bool), size[row] < high]
+    return np.concatenate(keys).astype(np.int64), np.concatenate([whole, row]), np.concatenate(roles)
+
+
 def within(codes: np.ndarray, at: np.ndarray, size: np.ndarray, x: np.ndarray, y: np.ndarray, distance: int) -> np.ndarray:
     """Whether lines ``x`` and ``y`` (same number of pairs) lie within the edit distance.
 
@@ -141,7 +172,9 @@ def within(codes: np.ndarray, at: np.ndarray, size: np.ndarray, x: np.ndarray, y
     return out
 
 
-def _keys(shortest: int, distance: int):
+def _keys(steps: list[tuple[int, int | None, int]]):
+    shortest = min(low for low, _, distance in steps if distance)
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in slices(batches, "text", 1 << 19):
@@ -149,7 +182,9 @@ def _keys(shortest: int, distance: int):
             ids = line_ids(lines)
             new = [i for i, h in enumerate(ids.tolist()) if h not in seen]
             seen.update(ids[new].tolist())
-            key, row, role = segment_keys([lines[i] for i in new], distance)
+            own = [lines[i] for i in new]
+            found = [deletion_keys(own, low, high) if high and distance == 1 else segment_keys(own, distance, low, high) for low, high, distance in steps if distance]
+            key, row, role = (np.concatenate(f) for f in zip(*found))
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids[new][row]), pa.array(role)], ["key", "line", "indexed"])
 
     return emit
@@ -186,7 +221,7 @@ def _texts(shortest: int, bitmap):
     return emit
 
 
-def _verify(distance: int):
+def _verify(steps: list[tuple[int, int | None, int]]):
     """Links between the lines of each block, as stars of the components inside it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,6 +231,7 @@ def _verify(distance: int):
             across = table.column("tile_a").to_numpy() != table.column("tile_b").to_numpy()
             texts = table.column("text").to_pylist()
             size = np.array([len(t) for t in texts], np.int64)
+            most = np.array([d for _, _, d in steps])[np.searchsorted([low for low, _, _ in steps], size, "right") - 1]
             at = np.cumsum(size) - size
             codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
             bins = np.repeat(np.arange(len(texts)), size) * 32 + (codes % 32).astype(np.int64)
@@ -214,7 +250,10 @@ def _verify(distance: int):
                     return
                 i, j = (np.concatenate(w) for w in zip(*waiting))
                 waiting.clear()
-                near = within(codes, at, size, i, j, distance)
+                limit, near = np.minimum(most[i], most[j]), np.zeros(len(i), bool)
+                for d in np.unique(limit):
+                    own = limit == d
+                    near[own] = within(codes, at, size, i[own], j[own], int(d))
                 for a, b in zip(i[near].tolist(), j[near].tolist()):
                     a, b = find(a), find(b)
                     if a != b:
@@ -226,7 +265,7 @@ def _verify(distance: int):
                     i1 = min(stop, i0 + 64)
                     tops = np.array([find(i) for i in range(i0, i1)])
                     later = np.arange(i0 + 1, stop)
-                    ok = np.abs(size[i0:i1, None] - size[later]) <= distance
+                    ok = np.abs(size[i0:i1, None] - size[later]) <= np.minimum(most[i0:i1, None], most[later])
                     ok &= later > np.arange(i0, i1)[:, None]
                     ok &= tops[:, None] != root[later]
                     if across[start]:
@@ -235,7 +274,7 @@ def _verify(distance: int):
                     i, j = i + i0, later[j]
                     for k in range(0, len(i), 65536):
                         a, b = i[k : k + 65536], j[k : k + 65536]
-                        like = np.abs(bag[a] - bag[b]).sum(axis=1) <= 2 * distance
+                        like = np.abs(bag[a] - bag[b]).sum(axis=1) <= 2 * np.minimum(most[a], most[b])
                         waiting.append((a[like], b[like]))
                     if sum(len(w[0]) for w in waiting) > 4096:
                         settle()
@@ -249,9 +288,12 @@ def _verify(distance: int):
     return run
 
 
-def near_lines(texts: DataFrame, distance: int, shortest: int) -> DataFrame:
-    """``node, component`` of distinct lines linked by an edit distance of at most ``distance`` (see connected_components)."""
-    keyed = texts.mapInArrow(_keys(shortest, distance), "key long, line long, indexed boolean")
+def near_lines(texts: DataFrame, steps: list[tuple[int, int | None, int]]) -> DataFrame:
+    """``node, component`` of distinct lines linked by an edit distance of at most that of the shorter one's tier (see connected_components)."""
+    if not any(distance for _, _, distance in steps):
+        return texts.sparkSession.createDataFrame([], "node long, component long")
+    shortest = min(low for low, _, distance in steps if distance)
+    keyed = texts.mapInArrow(_keys(steps), "key long, line long, indexed boolean")
     shared = cut_lineage(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_shared, "key long, line long"))
     bitmap = texts.sparkSession.sparkContext.broadcast(slot_bitmap(shared, "line"))
     found = texts.mapInArrow(_texts(shortest, bitmap), "line long, text string").dropDuplicates(["line"])
@@ -262,22 +304,24 @@ def near_lines(texts: DataFrame, distance: int, shortest: int) -> DataFrame:
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     placed = placed.withColumns({"tile_a": F.least("tile", "other"), "tile_b": F.greatest("tile", "other")})
     placed = placed.withColumn("part", F.xxhash64("key", "tile_a", "tile_b")).select("part", "tile", "tile_a", "tile_b", "line", "text")
-    links = placed.repartition("part").sortWithinPartitions("part").mapInArrow(_verify(distance), "a long, b long")
+    links = placed.repartition("part").sortWithinPartitions("part").mapInArrow(_verify(steps), "a long, b long")
     out = connected_components(links)
     release(shared, blocks)
     return out
 
 
 def remove_near_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 2, shortest: int = 20
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 2, shortest: int = 20, shorter: tuple[tuple[int, int], ...] = ()
 ) -> DataFrame:
     """Rows of ``docs`` with ``line_count, lines_removed, line_text``: the text without repeated lines.
 
     Lines are compared with runs of white space as one blank. Lines within the
     edit distance (in characters) link; of the lines that links connect, the one
     that comes first stays, by id (null last), then document, then place, and all
-    others are removed, copies inside a document too. Lines of fewer than
-    ``shortest`` characters are left alone. A text that loses no line comes back
+    others are removed, copies inside a document too. ``shorter`` holds lengths
+    below ``shortest`` and the distance from there on (0: only exact repeats);
+    of two lines the distance of the shorter one counts. Lines below all these
+    lengths are left alone, and so are lines without characters. A text that loses no line comes back
     as it is: null stays null; one that loses all is empty. Rows that repeat id
     and text are one document and get the same text. Empty tables give no rows.
     Columns named like the added ones or starting with ``_line`` are not allowed.
@@ -285,19 +329,20 @@ def remove_near_lines(
     Lines are identified by a 64-bit hash. Only lines that share a segment key
     with another are ever compared, block by block, a large block tile by tile.
     """
+    steps = tiers(distance, shortest, shorter)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("doc", document_key("id", "text"))
     kind = dict(texts.dtypes)["id"]
 
     def list_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
-            found = [lines_of(t, shortest) for t in batch.column("text").to_pylist()]
+            found = [lines_of(t, max(1, steps[0][0])) for t in batch.column("text").to_pylist()]
             row = pa.array(np.repeat(np.arange(batch.num_rows), [len(f[0]) for f in found]))
             number = pa.array([i for f in found for i in f[0]], pa.int32())
             ids = pa.array(line_ids([x for f in found for x in f[1]]))
             yield pa.RecordBatch.from_arrays([ids, batch.column("doc").take(row), batch.column("id").take(row), number], ["line", "doc", "id", "number"])
 
     listed = cut_lineage(texts.mapInArrow(list_lines, f"line long, doc long, id {kind}, number int"))
-    near = cut_lineage(near_lines(texts.select("text"), distance, shortest))
+    near = cut_lineage(near_lines(texts.select("text"), steps))
     place = F.struct(F.col("id").isNull().alias("nil"), "id", "doc", "number")
     firsts = listed.groupBy("line").agg(F.min(place).alias("least"), F.max(place).alias("most"))
     grouped = firsts.join(near, firsts["line"] == near["node"], "left").withColumn("top", F.coalesce("component", "line"))

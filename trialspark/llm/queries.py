@@ -29,6 +29,8 @@ MIX_WEIGHTS = {
     ("d0", "en", "src0"): 2.0,
 }
 MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.5, 2, 7
+#: Edits that lines under 20 characters may differ by: from 8 characters on one, below that none.
+SHORT_LINES = ((1, 0), (8, 1))
 #: A document above this many tokens is over the limit.
 TOKEN_LIMIT = 1024
 
@@ -56,7 +58,7 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.remove_near_lines(_table(spark, sf_dir, "documents"), distance=2, shortest=20)
+    out = line_dedup.remove_near_lines(_table(spark, sf_dir, "documents"), distance=2, shortest=20, shorter=SHORT_LINES)
     return out.select("doc_id", "line_count", "lines_removed", F.col("line_text").alias("text"))
 
 
