@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import defaultdict
 
 import duckdb
@@ -137,6 +138,19 @@ def test_banded_distance_and_segments():
         assert {(a, b) for a, b, t in zip(i, j, true) if t and lines[a] != lines[b]} <= met
 
 
+def test_banded_distance_in_bounded_memory():
+    lines = ["a" * 20 + str(i % 7) for i in range(2000)] + ["b" * 20_000, "b" * 19_999]
+    size = np.array([len(x) for x in lines])
+    codes = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
+    x = np.r_[np.arange(0, 2000, 2), np.arange(0, 1998, 2), 2000]
+    y = np.r_[np.arange(1, 2000, 2), np.arange(2, 2000, 2), 2001]
+    tracemalloc.start()
+    near = line_dedup.within(codes, np.cumsum(size) - size, size, x, y, 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert near.all() and peak < 300e6
+
+
 def test_line_dedup(spark, monkeypatch):
     random.seed(4)
     pool = [" ".join(random.choice(["alpha", "beta", "gamma", "delta", "eps"]) + str(random.randrange(50)) for _ in range(6)) for _ in range(25)]

@@ -130,12 +130,12 @@ def within(codes: np.ndarray, at: np.ndarray, size: np.ndarray, x: np.ndarray, y
     """
     width = 2 * distance + 1
     out = np.zeros(len(x), bool)
-    # pairs of like length together, in bounded blocks
-    order = np.argsort(size[x], kind="stable")
+    # pairs of like length together, the longest first, so that the first of a block bounds what it allocates
+    order = np.argsort(-size[x], kind="stable")
     at_pair = 0
     while at_pair < len(order):
         longest = int(size[x[order[at_pair]]])
-        take = max(64, min(8192, 4_000_000 // (longest + 1)))
+        take = max(1, min(8192, 4_000_000 // (longest + 1)))
         own = order[at_pair : at_pair + take]
         at_pair += take
         a, b = x[own], y[own]
