@@ -375,6 +375,27 @@ def test_repeated_spans_by_brute_force(spark):
     assert got == want and any(want[d] != t for d, t in rows)
 
 
+def test_repeated_spans_of_any_length(spark):
+    random.seed(8)
+    tail = ["A b c d e f g h i j.", "K l m n o p q r s t.", "U v w x y z a b c d.", "E f g."]
+    pool = [" ".join(random.choice("abcdefgh") + str(random.randrange(9)) for _ in range(random.randrange(1, 13))) + "." for _ in range(200)]
+    texts = [tail, ["Head."] + tail + ["Foot."]]
+    for _ in range(60):
+        k = random.randrange(190)
+        texts.append(random.sample(pool, 4) + pool[k : k + random.randrange(1, 9)] + random.sample(pool, 2))
+    seen, want = {}, {}
+    for d, parts in enumerate(texts):
+        split, drop = [p.lower().split() for p in parts], set()
+        for i in range(len(parts)):
+            for j in range(i + 2, len(parts) + 1):
+                if sum(map(len, split[i:j])) >= 16 and seen.setdefault(tuple(map(tuple, split[i:j])), (d, i)) != (d, i):
+                    drop |= set(range(i, j))
+        want[d] = len(drop), "".join(p + " " for i, p in enumerate(parts) if i not in drop)
+    docs = spark.createDataFrame([(d, "".join(p + " " for p in parts)) for d, parts in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = {r["id"]: (r["n_removed"], r["text"]) for r in substring_dedup.remove_repeated_spans(docs, ends=True).collect()}
+    assert got == want and got[1] == (4, "Head. Foot. ")
+
+
 def test_toxicity(spark, documents, nothing):
     sf = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))

@@ -93,7 +93,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = substring_dedup.remove_repeated_spans(_table(spark, sf_dir, "documents"))
+    out = substring_dedup.remove_repeated_spans(_table(spark, sf_dir, "documents"), ends=True)
     return out.select(F.col("id").alias("doc_id"), "n_sentences", "n_removed", "text")
 
 

@@ -31,9 +31,10 @@ def sentences(text: str, longest: int = 24) -> list[str]:
     return [p for p in out if p]
 
 
-def span_hashes(parts: list[str], run: int, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def span_hashes(parts: list[str], run: int, words: int, ends: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, first and end sentence of every run: at least ``run`` sentences and ``words`` words, as few as possible.
 
+    A run begins at every sentence; with ``ends`` one ends at every sentence too.
     Case and the kind of white space don't count; sentences without words are skipped.
     """
     split = [p.lower().split() for p in parts]
@@ -47,6 +48,11 @@ def span_hashes(parts: list[str], run: int, words: int) -> tuple[np.ndarray, np.
     end = np.maximum(np.arange(n) + run, np.searchsorted(upto, upto[:-1] + words))
     start = np.flatnonzero(end <= n)
     end = end[start]
+    if ends:
+        last = np.arange(run, n + 1)
+        begin = np.minimum(last - run, np.searchsorted(upto, upto[last] - words, "right") - 1)
+        both = np.unique(np.r_[start * (n + 1) + end, (begin * (n + 1) + last)[begin >= 0]])
+        start, end = both // (n + 1), both % (n + 1)
     # a polynomial in the place of each sentence, brought back to place 0
     power = np.cumprod(np.full(n + 1, _BASE, np.uint64))
     back = np.cumprod(np.full(n + 1, pow(_BASE, -1, 1 << 64), np.uint64))
@@ -55,10 +61,10 @@ def span_hashes(parts: list[str], run: int, words: int) -> tuple[np.ndarray, np.
     return value, full[start], full[end - 1] + 1
 
 
-def _spans(run: int, words: int):
+def _spans(run: int, words: int, ends: bool):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
-            found = [span_hashes(sentences(t or ""), run, words) for t in batch.column("text").to_pylist()]
+            found = [span_hashes(sentences(t or ""), run, words, ends) for t in batch.column("text").to_pylist()]
             row = pa.array(np.repeat(np.arange(batch.num_rows), [len(f[0]) for f in found]))
             span, first, end = (np.concatenate([f[i] for f in found]) for i in range(3))
             yield pa.RecordBatch.from_arrays(
@@ -88,12 +94,14 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeated_spans(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = 2, words: int = 16
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = 2, words: int = 16, ends: bool = False
 ) -> DataFrame:
     """One row per row of ``docs``: ``id, n_sentences, n_removed, text`` without repeated spans.
 
     From every sentence on, the shortest run of at least ``run`` sentences and
-    ``words`` words is hashed. Of equal runs anywhere the first stays, by id
+    ``words`` words is hashed; with ``ends`` also the shortest that ends with
+    every sentence. Both together cover what equal runs of any length do, the
+    first kind alone can leave the last sentences of a passage. Of equal runs anywhere the first stays, by id
     (null last), then document, then place; sentences covered by any other are
     removed. A text without such runs is returned as it is: a null text stays
     null, one with nothing left is empty. Rows that repeat id and text are one
@@ -106,7 +114,7 @@ def remove_repeated_spans(
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("doc", document_key("id", "text"))
     kind = dict(rows.dtypes)["id"]
-    spans = cut_lineage(rows.mapInArrow(_spans(run, words), f"span long, doc long, id {kind}, first int, end int"))
+    spans = cut_lineage(rows.mapInArrow(_spans(run, words, ends), f"span long, doc long, id {kind}, first int, end int"))
     place = F.struct(F.col("id").isNull().alias("nil"), "id", "doc", "first")
     least = spans.groupBy("span").agg(F.min(place).alias("least"), F.max(place).alias("most"))
     repeated = cut_lineage(least.filter("least != most").select("span", F.col("least.doc").alias("at_doc"), F.col("least.first").alias("at_first")))
