@@ -396,6 +396,23 @@ def test_repeated_spans_of_any_length(spark):
     assert got == want and got[1] == (4, "Head. Foot. ")
 
 
+def test_cuts_of_long_sentences_follow_the_words(spark):
+    random.seed(9)
+    made = lambda n: ["".join(random.choice("abcdefghij") for _ in range(5)) for _ in range(n)]
+    shared = [made(60) for _ in range(20)]
+    rows = [(d, " ".join(made(7 + d) + p + made(5))) for d, p in enumerate(shared)]
+    # another beginning, and one word more before and inside of the passage
+    rows += [(100 + d, "\t".join(made(18 + 2 * d) + p[:3] + ["new"] + p[3:] + made(9))) for d, p in enumerate(shared)]
+    rows += [(200, " ".join(made(2000))), (201, " ".join(["same"] * 100)), (202, " \t x" + "\u00a0y" * 40 + "  ")]
+    for _, t in rows:
+        parts = substring_dedup.sentences(t)
+        assert "".join(parts) == t and max(len(p.split()) for p in parts) <= 24
+    got = {r["id"]: r["text"] for r in substring_dedup.remove_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"), ends=True).collect()}
+    gone = [len(rows[20 + d][1].split()) - len(got[100 + d].split()) for d in range(20)]
+    assert min(gone) >= 16 and sum(gone) / 20 > 35 and all(got[d] == rows[d][1] for d in range(20))
+    assert all({*rows[20 + d][1].split()} - {*got[100 + d].split()} <= {*p} for d, p in enumerate(shared))
+
+
 def test_toxicity(spark, documents, nothing):
     sf = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))

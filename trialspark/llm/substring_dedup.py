@@ -14,20 +14,54 @@ from pyspark.sql import functions as F
 from trialspark.llm.common import cut_lineage, document_key, mix64, slices
 
 _BREAK = re.compile(r"((?<=[.!?…])\s+|\s*\n\s*)")
+_WORD = re.compile(r"\s*\S+\s*")
 _BASE = 0x9E3779B97F4A7C15
 
 
+def cuts(words: list[str], longest: int) -> list[int]:
+    """Places that cut ``words`` into pieces of at most ``longest``, set by the words around them.
+
+    A cut stands before a word whose hash with the next one is the smallest of
+    four on either side, so that cuts fall into step again after an edit or
+    another beginning; a piece that stays too long is cut at its smallest hash.
+    """
+    near = 4
+    n = len(words)
+    one = np.fromiter(map(xxhash.xxh3_64_intdigest, " ".join(words).encode("utf-8", "surrogatepass").split(b" ")), np.uint64, n)
+    pair = one * np.uint64(_BASE)
+    pair[:-1] += one[1:]
+    pair = mix64(pair)
+    least = pair.copy()
+    for k in range(1, min(near, n - 1) + 1):
+        np.minimum(least[k:], pair[:-k], out=least[k:])
+        np.minimum(least[:-k], pair[k:], out=least[:-k])
+    places = np.flatnonzero(pair == least).tolist()
+    out, open_ = [], [(a, b) for a, b in zip([0, *places], [*places, n])]
+    while open_:
+        a, b = open_.pop()
+        if b - a > longest:
+            at = a + 1 + int(np.argmin(pair[a + 1 : b]))
+            open_ += [(a, at), (at, b)]
+        elif a:
+            out.append(a)
+    return sorted(set(out))
+
+
 def sentences(text: str, longest: int = 24) -> list[str]:
     """Sentences with the white space after them; joined they are the text again.
 
     A sentence ends at ``. ! ? …`` before white space and at a line break. One
-    of more than ``longest`` words is cut every so many words from its start.
+    of more than ``longest`` words is cut at places that its words set (see cuts).
     """
     parts = _BREAK.split(text)
-    out = [a + b for a, b in zip(parts[::2], [*parts[1::2], ""])]
-    if any(p.count(" ") >= longest for p in out):
-        cut = re.compile(rf"\s*(?:\S+\s*){{1,{longest}}}|\s+").findall
-        out = [q for p in out for q in (cut(p) if p.count(" ") >= longest else [p])]
+    out = []
+    for part in (a + b for a, b in zip(parts[::2], [*parts[1::2], ""])):
+        if len(part) > 2 * longest and len(words := part.lower().split()) > longest:
+            written = _WORD.findall(part)
+            at = cuts(words, longest)
+            out += ["".join(written[a:b]) for a, b in zip([0, *at], [*at, len(written)])]
+        else:
+            out.append(part)
     return [p for p in out if p]
 
 
@@ -114,7 +148,8 @@ def remove_repeated_spans(
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("doc", document_key("id", "text"))
     kind = dict(rows.dtypes)["id"]
-    spans = cut_lineage(rows.mapInArrow(_spans(run, words, ends), f"span long, doc long, id {kind}, first int, end int"))
+    # listed twice: writing all runs would take more disk than the texts
+    spans = rows.mapInArrow(_spans(run, words, ends), f"span long, doc long, id {kind}, first int, end int")
     place = F.struct(F.col("id").isNull().alias("nil"), "id", "doc", "first")
     least = spans.groupBy("span").agg(F.min(place).alias("least"), F.max(place).alias("most"))
     repeated = cut_lineage(least.filter("least != most").select("span", F.col("least.doc").alias("at_doc"), F.col("least.first").alias("at_first")))
