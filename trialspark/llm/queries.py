@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialspark.llm import bpe, embedding_dedup, exact_dedup, line_dedup, mixing, ngram_join, substring_dedup, token_counts, toxicity, url_filter
+from trialspark.llm import (
+    bpe,
+    centroid_clustering,
+    embedding_dedup,
+    exact_dedup,
+    line_dedup,
+    mixing,
+    ngram_join,
+    packed_ids,
+    periodic_runs,
+    substring_dedup,
+    token_counts,
+    toxicity,
+    url_filter,
+)
+from trialspark.llm.common import SPACES
 
 #: Rules of the url query: verdict, host, path.
 URL_RULES = (
@@ -33,6 +48,10 @@ MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.5, 2, 7
 SHORT_LINES = ((1, 0), (8, 1))
 #: A document above this many tokens is over the limit.
 TOKEN_LIMIT = 1024
+#: Centroids and rounds of the clustering query, components of its vectors, their scale and the seed of the first centroids.
+CLUSTERS, CLUSTER_ROUNDS, CLUSTER_DIMS, CLUSTER_SCALE, CLUSTER_SEED = 40, 5, 64, 256, 2
+#: Words and periods that a run has at least.
+RUN_WORDS, RUN_PERIODS = 24, 3
 
 
 def vocabulary(name: str) -> str:
@@ -102,6 +121,59 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "doc_id")
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = centroid_clustering.centroid_clusters(_table(spark, sf_dir, "embeddings"), CLUSTERS, CLUSTER_ROUNDS, CLUSTER_DIMS, CLUSTER_SCALE, CLUSTER_SEED)
+    digest = F.sha2(F.array_join("centroid", ","), 256)
+    return out.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
+def op12_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    files = packed_ids.write_ids(docs, vocabulary("byte_bpe_50k.json"), end=0)
+    return packed_ids.read_ids(files, dict(docs.dtypes)["doc_id"], ids=False, digests=True).withColumnRenamed("id", "doc_id")
+
+
+def with_planted_periods(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Texts of a tenth of the documents, chosen by a checksum of the id, repeat a stretch of their words up to their end."""
+    h = F.crc32(F.col(id_col).cast("string"))
+    g = F.floor(h / 10).cast("long")
+
+    def repeated(w: Column) -> Column:
+        n = F.size(w)
+        a = (g % n).cast("int")
+        p = (F.lit(1) + F.floor((n - a) / (3 + g % 8))).cast("int")
+        copies = F.flatten(F.array_repeat(F.slice(w, a + 1, p), F.ceil((n - a) / p).cast("int")))
+        return F.array_join(F.concat(F.slice(w, F.lit(1), a), F.slice(copies, F.lit(1), n - a)), " ")
+
+    words = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), SPACES), lambda x: x != "")
+    changed = F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, repeated(w)).otherwise(F.lit("")))[0]
+    return docs.withColumn(text_col, F.when(h % 10 == 0, changed).otherwise(F.col(text_col)))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_periods(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = periodic_runs.periodic_runs(docs, RUN_WORDS, RUN_PERIODS)
+
+    def before(x: Column, y: Column) -> Column:
+        """Greatest length over period first, compared exactly, then start, then period."""
+        order = ((y.length * x.period, x.length * y.period), (x.start, y.start), (x.period, y.period))
+        step = F.lit(0)
+        for small, large in reversed(order):
+            step = F.when(small < large, -1).when(small > large, 1).otherwise(step)
+        return step
+
+    line = lambda r: F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period")))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return out.withColumn("best", F.get(F.array_sort("runs", before), F.lit(0))).select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -115,6 +187,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_url_filter,
         op9_substring_dedup,
         op10_toxicity,
+        op11_centroid_clustering,
+        op12_packed_ids,
+        op13_periodic_runs,
     )
 }
 
@@ -204,9 +279,63 @@ def _mix_sql() -> str:
     return "WITH " + ",\n".join(ctes) + f"\nSELECT doc_id, domain, lang, source, n_tokens, CAST(whole + CASE WHEN whole < {MIX_EPOCHS} AND upto <= rest THEN 1 ELSE 0 END AS INT) AS copies FROM run"
 
 
+def _cluster_sql() -> str:
+    whole = f"list_transform(embedding, lambda x: CAST(floor({CLUSTER_SCALE} * CAST(x AS DOUBLE)) AS BIGINT))"
+    far = "CAST(list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT)"
+    ctes = [
+        f"""kept AS MATERIALIZED (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS r, {whole} AS v FROM embeddings
+  WHERE len(embedding) = {CLUSTER_DIMS} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY o) - 1 AS INT) AS cluster, v AS c
+  FROM (SELECT v, sha256('{CLUSTER_SEED}:' || vec_id) AS o FROM kept ORDER BY o LIMIT {CLUSTERS}))""",
+    ]
+    for k in range(CLUSTER_ROUNDS + 1):
+        ctes.append(f"""a{k} AS MATERIALIZED (SELECT r, vec_id, v, arg_min(cluster, (far, cluster)) AS cluster, min(far) AS far
+  FROM (SELECT r, vec_id, v, cluster, {far} AS far FROM kept CROSS JOIN c{k}) GROUP BY r, vec_id, v)""")
+        if k < CLUSTER_ROUNDS:
+            ctes.append(f"""m{k} AS (SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS m FROM (
+  SELECT cluster, i, sum(x) AS s, count(*) AS n FROM (SELECT cluster, unnest(v) AS x, unnest(range({CLUSTER_DIMS})) AS i FROM a{k}) GROUP BY cluster, i) GROUP BY cluster)""")
+            ctes.append(f"c{k + 1} AS MATERIALIZED (SELECT cluster, coalesce(m, c) AS c FROM c{k} LEFT JOIN m{k} USING (cluster))")
+    last = CLUSTER_ROUNDS
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT vec_id, cluster, far AS distance, CAST(sum(far) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(far) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{last} JOIN c{last} USING (cluster)"""
+
+
+#: A run repeats all but its last period, 16 words or more: places whose next 8 words stand again one period later, nine at least in a row.
+_RUNS_SQL = f"""
+WITH h AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
+    xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: [CAST(ascii(d) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+      lambda c, x: CASE WHEN xor(c, x) & 1 = 1 THEN xor(xor(c, x) >> 1, 3988292384) ELSE xor(c, x) >> 1 END), 4294967295) AS h
+  FROM documents
+), a AS (SELECT doc_id, w, h, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM h),
+p AS (SELECT *, 1 + (len(w) - a) // (3 + (h // 10) % 8) AS p FROM a),
+d AS MATERIALIZED (SELECT doc_id, CASE WHEN h % 10 = 0 AND len(w) > 0
+  THEN list_transform(range(len(w)), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) ELSE w END AS w FROM p),
+grams AS MATERIALIZED (SELECT doc_id, len(w) AS n, i, array_to_string(w[i + 1:i + 8], ' ') AS gram FROM d, unnest(range(len(w) - 7)) AS t(i)),
+same AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.gram = y.gram AND y.i > x.i AND {RUN_PERIODS} * (y.i - x.i) <= x.n),
+rows_ AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS block FROM same),
+long AS (SELECT doc_id, q, min(i) AS start, count(*) + 7 + q AS length FROM rows_ GROUP BY doc_id, q, block
+  HAVING count(*) + 7 + q >= greatest({RUN_WORDS}, {RUN_PERIODS} * q)),
+runs AS MATERIALIZED (SELECT doc_id, start, length, min(q) AS period FROM long GROUP BY doc_id, start, length),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM runs GROUP BY doc_id),
+best AS (SELECT x.* FROM runs x WHERE NOT EXISTS (SELECT 1 FROM runs y WHERE y.doc_id = x.doc_id AND (y.length * x.period > x.length * y.period
+  OR y.length * x.period = x.length * y.period AND (y.start < x.start OR y.start = x.start AND y.period < x.period)))),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+holes AS (SELECT doc_id, list(i) AS holes FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, start, length, period, CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256,
+  sha256(array_to_string(CASE WHEN holes IS NULL THEN w ELSE list_transform(list_filter(range(len(w)), lambda i: NOT list_contains(holes, i)), lambda i: w[i + 1]) END, ' ')) AS collapsed_sha256
+FROM d LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN holes USING (doc_id)
+"""
+
+
 SQL: dict[str, str] = {
     "op1_ngram_jaccard_join": _JACCARD_SQL,
     "op4_source_mixing": _mix_sql(),
     "op6_exact_dedup": _EXACT_SQL,
     "op7_embedding_dedup": _EMBEDDING_SQL,
+    "op11_centroid_clustering": _cluster_sql(),
+    "op13_periodic_runs": _RUNS_SQL,
 }
