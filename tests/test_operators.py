@@ -265,17 +265,44 @@ def test_lifecycle_restarts_after_a_gap_and_retirement_absorbs(spark):
     assert [got["z", y] for y in range(2000, 2007)] == [8, 10, 10, 10, 11, 11, 11]
 
 
-def test_fronts_agree_small_and_large_and_cover_all(spark):
+def peeled(values, eps, ids):
+    """Fronts by taking away, again and again, the rows that no other row beats."""
+    box = np.floor(values / eps)
+    corner = (((values - box * eps) / eps) ** 2).sum(axis=1)
+    order = sorted(range(len(ids)), key=lambda i: (corner[i], ids[i]))
+    rank = np.argsort(order)
+    le = (box[:, None] <= box[None]).all(axis=2)
+    same = le & le.T
+    beats = (le & ~same) | (same & (rank[:, None] < rank[None]))
+    front, k = np.full(len(ids), -1), 0
+    while (front < 0).any():
+        rest = np.flatnonzero(front < 0)
+        front[rest[~beats[np.ix_(rest, rest)].any(axis=0)]] = k
+        k += 1
+    return front
+
+
+@pytest.mark.parametrize(("n_objectives", "eps"), [(1, 1e-9), (2, 1e-9), (2, 2.5), (3, 1e-9), (4, 1.5)])
+def test_fronts_are_those_of_peeling(spark, n_objectives, eps):
     rng = np.random.default_rng(8)
-    pdf = pd.DataFrame({"g": rng.integers(0, 2, 240), "i": np.arange(240), "a": rng.integers(0, 12, 240).astype(float), "b": rng.integers(0, 12, 240).astype(float)})
-    df = spark.createDataFrame(pdf)
-    small = P.pareto_fronts(df, ["g"], "i", ["a"], ["b"]).toPandas().sort_values("i")
-    large = P.pareto_fronts(df, ["g"], "i", ["a"], ["b"], n_fronts=3, task_rows=40).toPandas().sort_values("i")
-    assert small.front_idx.notna().all()
-    assert small.front_idx.where(small.front_idx < 3, -1).tolist() == large.front_idx.fillna(-1).tolist()
-    for r in small[small.front_idx > 0].itertuples():
-        above = small[(small.g == r.g) & (small.front_idx == r.front_idx - 1)]
-        assert ((above.a <= r.a) & (above.b >= r.b)).any()
+    sizes = {"a": 230, "b": 75, "c": 1, None: 30}
+    pdf = pd.DataFrame({"g": [g for g, n in sizes.items() for _ in range(n)]})
+    for d in range(n_objectives):
+        pdf[f"o{d}"] = rng.integers(0, 12, len(pdf)) + (rng.random(len(pdf)) if eps > 1 else 0.0)
+    pdf["i"] = rng.permutation(len(pdf))
+    want = {}
+    for _, own in pdf.groupby("g", dropna=False):
+        values = own[[f"o{d}" for d in range(n_objectives)]].to_numpy() * np.array([1.0] + [-1.0] * (n_objectives - 1))
+        want |= dict(zip(own.i, peeled(values, eps, own.i.to_numpy()).tolist()))
+    rows = [tuple(None if x is None or x != x else x for x in r) for r in pdf.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "g string, " + ", ".join(f"o{d} double" for d in range(n_objectives)) + ", i long")
+    df = df.unionByName(df.filter("i = 0").withColumns({"i": F.lit(9999).cast("long"), "o0": F.lit(None).cast("double")}))
+    smaller, larger = ["o0"], [f"o{d}" for d in range(1, n_objectives)]
+    for range_rows, n_fronts in ((1000, None), (48, 3 if n_objectives < 3 else None)):
+        got = {r.i: r.front_idx for r in P.pareto_fronts(df, ["g"], "i", smaller, larger, eps, n_fronts, range_rows).collect()}
+        assert got.pop(9999) is None
+        assert got == {i: f if n_fronts is None or f < n_fronts else None for i, f in want.items()}
+    assert P.pareto_fronts(df.limit(0), ["g"], "i", smaller, larger).count() == 0
 
 
 def test_trait_distance_is_one_sided(spark):

@@ -82,6 +82,23 @@ def numbered(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     return out.withColumn(name, F.col("_before") + F.col("_rn")).drop("_part", "_rn", "_before")
 
 
+def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """Place of every row within its key, from 1, in the order of several columns.
+
+    Rows are dealt out by ranges of key and order and written once with the
+    number of their range; a key of many rows, or one value that most rows share
+    while later columns tell them apart, spreads over tasks.
+    """
+    ordering = _order(order)
+    placed = cut_lineage(df.repartitionByRange(*keys, *ordering).withColumn("_block", F.spark_partition_id()))
+    per_block = placed.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_block.select(*keys, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(*keys, "_block").orderBy(*ordering))
+    out = null_safe_join(placed.withColumn("_rn", inside), offsets, [*keys, "_block"])
+    return out.withColumn(name, F.col("_before") + F.col("_rn")).drop("_block", "_rn", "_before")
+
+
 def with_group_values(df: DataFrame, keys: Sequence[str], **values: Column) -> DataFrame:
     """Attach aggregates of the row's group; values are aggregate expressions."""
     if not keys:

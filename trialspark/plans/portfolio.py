@@ -60,7 +60,7 @@ def points_between_listed_pairs(t: Tables) -> DataFrame:
 @plan("Z4", _SCORES + "SELECT l_returnflag, i AS l_suppkey, round(sum(d), 4) AS points, true AS sums_to_zero FROM g GROUP BY ALL")
 def massey_points_from_ratings(t: Tables) -> DataFrame:
     """The games matrix applied to the ratings gives back every entry's points."""
-    scores = _scores(t)
+    scores = cut_lineage(_scores(t))
     ratings = cut_lineage(R.rate(scores, _LEAGUE, "l_suppkey"))
     again = scores.drop("_x").join(ratings.withColumnRenamed("rating", "_x"), [*_LEAGUE, "l_suppkey"])
     total = ratings.groupBy(*_LEAGUE).agg((F.abs(F.sum("rating")) < 1e-6).alias("sums_to_zero"))
@@ -68,16 +68,51 @@ def massey_points_from_ratings(t: Tables) -> DataFrame:
     return out.select(*_LEAGUE, "l_suppkey", F.round("points", 4).alias("points"), "sums_to_zero")
 
 
-@plan("Z4 Z6")
+#: The games matrices as lists of rows, by the order of the entries in their league.
+_MATRICES = _SCORES.replace("WITH s AS", "WITH RECURSIVE s AS", 1) + """,
+p AS (SELECT l_returnflag, i, j, sum(d) AS net, sum(abs(d)) AS total, count(*) AS n FROM g GROUP BY ALL),
+e AS (SELECT DISTINCT l_returnflag, l_suppkey FROM s),
+m AS (SELECT a.l_returnflag, a.l_suppkey AS i, b.l_suppkey AS j, coalesce(p.net, 0) AS net, coalesce(p.total, 0) AS total, coalesce(p.n, 0) AS n,
+  CASE WHEN a.l_suppkey = b.l_suppkey THEN sum(coalesce(p.n, 0)) OVER (PARTITION BY a.l_returnflag, a.l_suppkey) ELSE 0 END AS own
+  FROM e a JOIN e b USING (l_returnflag) LEFT JOIN p ON p.l_returnflag = a.l_returnflag AND p.i = a.l_suppkey AND p.j = b.l_suppkey),
+r AS (SELECT l_returnflag, i, list(CAST(own - n AS DOUBLE) ORDER BY j) AS games, sum(net) AS points, list(0.5 + 1e-10 + net / (2 * (total + 2)) ORDER BY j) AS shares FROM m GROUP BY l_returnflag, i),
+x AS (SELECT l_returnflag, list(i ORDER BY i) AS who, list(games ORDER BY i) AS games, list(points ORDER BY i) AS points, list(shares ORDER BY i) AS shares FROM r GROUP BY l_returnflag)
+"""
+
+
+def _ranked(rounds: str, digits: int) -> str:
+    """Entries ranked by the last vector of ``rounds``; the test tables have no tied ratings."""
+    return _MATRICES + rounds + f"""
+last AS (SELECT l_returnflag, unnest(who) AS l_suppkey, unnest(v) AS rating FROM c JOIN x USING (l_returnflag) WHERE k = (SELECT max(k) FROM c z WHERE z.l_returnflag = c.l_returnflag))
+SELECT l_returnflag, l_suppkey, round(rating, {digits}) AS rating, CAST(rank() OVER (PARTITION BY l_returnflag ORDER BY rating DESC) AS DOUBLE) AS ranking FROM last"""
+
+
+#: Conjugate gradients and power steps on these matrices, a row of the recursion being one step of a league.
+_MASSEY_ROUNDS = """,
+c AS (SELECT l_returnflag, 0 AS k, list_transform(points, lambda y: CAST(0 AS DOUBLE)) AS v, points AS r, points AS d, list_dot_product(points, points) AS rr, list_dot_product(points, points) AS first FROM x
+UNION ALL
+SELECT l_returnflag, k + 1, v1, r1, list_transform(list_zip(r1, d), lambda z: z[1] + list_dot_product(r1, r1) / rr * z[2]), list_dot_product(r1, r1), first FROM (
+  SELECT *, list_transform(list_zip(v, d), lambda z: z[1] + a * z[2]) AS v1, list_transform(list_zip(r, q), lambda z: z[1] - a * z[2]) AS r1 FROM (
+    SELECT *, rr / list_dot_product(d, q) AS a FROM (SELECT c.*, list_transform(games, lambda y: list_dot_product(y, d)) AS q FROM c JOIN x USING (l_returnflag) WHERE k < 200 AND rr > 1e-24 * first)))),
+"""
+_KEENER_ROUNDS = """,
+c AS (SELECT l_returnflag, 0 AS k, list_transform(points, lambda y: 1.0 / len(points)) AS v FROM x
+UNION ALL
+SELECT l_returnflag, k + 1, list_transform(q, lambda y: y / list_sum(q)) FROM (
+  SELECT c.*, list_transform(shares, lambda y: list_dot_product(y, v)) AS q FROM c JOIN x USING (l_returnflag) WHERE k < 60)),
+"""
+
+
+@plan("Z4 Z6", _ranked(_MASSEY_ROUNDS, 6))
 def massey_ranking(t: Tables) -> DataFrame:
-    scores = _scores(t)
-    return R.rank_ratings(R.rate(scores, _LEAGUE, "l_suppkey"), _LEAGUE, "l_suppkey", scores)
+    scores = cut_lineage(_scores(t))
+    return R.rank_ratings(R.rate(scores, _LEAGUE, "l_suppkey"), _LEAGUE, "l_suppkey", scores).withColumn("rating", F.round("rating", 6))
 
 
-@plan("Z5 Z6")
+@plan("Z5 Z6", _ranked(_KEENER_ROUNDS, 10))
 def keener_ranking(t: Tables) -> DataFrame:
-    scores = _scores(t)
-    return R.rank_ratings(R.rate(scores, _LEAGUE, "l_suppkey", "keener"), _LEAGUE, "l_suppkey", scores)
+    scores = cut_lineage(_scores(t))
+    return R.rank_ratings(R.rate(scores, _LEAGUE, "l_suppkey", "keener"), _LEAGUE, "l_suppkey", scores).withColumn("rating", F.round("rating", 10))
 
 
 @plan("Z7 Z23")

@@ -51,7 +51,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         shared = os.path.join(tempfile.gettempdir(), f"trialspark-steps-{spark.sparkContext.applicationId}")
-        spark.conf.set(name, shared)
     return shared
 
 
