@@ -13,6 +13,7 @@ from trialspark.operators import fits as M
 from trialspark.operators import flags as G
 from trialspark.operators import genotype as GT
 from trialspark.operators import grid as E
+from trialspark.operators import headtohead as HH
 from trialspark.operators import history as H
 from trialspark.operators import lookup as L
 from trialspark.operators import portfolio as P
@@ -254,6 +255,15 @@ def test_tied_ratings_fall_back_to_head_to_head_then_mean(spark):
     assert got == {"a": 1.0, "c": 2.0, "b": 3.0, "d": 4.5, "e": 4.5}
 
 
+def test_stability_rows_are_deviations_from_the_trial_mean(spark):
+    rows = [("t1", "Y", "a", 10.0), ("t1", "Y", "b", 14.0), ("t1", "Y", "c", None), ("t2", "Y", "a", 50.0), ("t1", "Z", "a", 3.0), (None, "Y", "a", 7.0)]
+    plots = spark.createDataFrame(rows, "trial string, trait string, e string, v double").withColumn("metric_name", F.lit("performance"))
+    out = HH.with_stability_rows(plots, "trial", "trait", "v", F.col("trait") == "Y")
+    assert out.filter("metric_name = 'performance'").count() == 6
+    got = sorted(((r.trial or "", r.e, r.v) for r in out.filter("metric_name = 'stability'").collect()), key=str)
+    assert got == [("", "a", 0.0), ("t1", "a", -2.0), ("t1", "b", 2.0), ("t1", "c", None), ("t2", "a", 0.0)]
+
+
 # --- portfolio -------------------------------------------------------------------------
 
 def test_lifecycle_restarts_after_a_gap_and_retirement_absorbs(spark):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from trialspark.functions import scoring as S
 from trialspark.functions.scoring import apply_normal_score
 from trialspark.operators.aggregates import correlation, geometric_mean
-from trialspark.operators.keyed import salted_join
+from trialspark.operators.keyed import salted_join, with_group_values
 from trialspark.session import cut_lineage
 
 
@@ -47,6 +47,17 @@ def _merged(prefix: str) -> list[Column]:
     ]
 
 
+def with_stability_rows(plots: DataFrame, trial: str, trait: str, value: str, is_yield: Column, metric: str = "metric_name") -> DataFrame:
+    """Add for every row of a yield trait one of the metric ``stability``: what its value differs from its trial's mean.
+
+    The deviations of an entry spread as its yields do inside trials, whatever the
+    trials' own levels; their spread is what the stability test compares.
+    """
+    means = with_group_values(plots.filter(is_yield), [trial, trait], _mean=F.avg(value))
+    deviations = means.withColumns({value: F.col(value) - F.col("_mean"), metric: F.lit("stability")}).drop("_mean")
+    return plots.unionByName(deviations)
+
+
 def co_occurrence(
     plots: DataFrame,
     group: Sequence[str],
