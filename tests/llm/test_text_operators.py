@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from trialspark.llm import bpe, components, embedding_dedup, exact_dedup, line_dedup, mixing, ngram_join, queries, substring_dedup, token_counts, toxicity, url_filter
+from trialspark.llm.common import cut_lineage, document_key
 
 SF = "/root/testdata/sf0.001"
 WORD, BYTE = (str(public_tokenizers.path(n)) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
@@ -361,15 +362,14 @@ def test_repeated_spans_by_brute_force(spark):
         assert "".join(parts) == t
         full = [(i, p.lower().split()) for i, p in enumerate(parts) if p.split()]
         drop = set()
-        for i in range(len(full)):
-            j, n = i, 0
-            while j < len(full) and (j - i < 2 or n < 16):
-                n += len(full[j][1])
-                j += 1
-            if j - i >= 2 and n >= 16:
-                key = tuple(tuple(w) for _, w in full[i:j])
-                if seen.setdefault(key, (d, i)) != (d, i):
-                    drop |= set(range(full[i][0], full[j - 1][0] + 1))
+        enough = lambda i, j: j - i >= 2 and sum(len(w) for _, w in full[i:j]) >= 16
+        n = len(full)
+        runs = {next(((i, j) for j in range(i + 2, n + 1) if enough(i, j)), None) for i in range(n)}
+        runs |= {next(((i, j) for i in range(j - 2, -1, -1) if enough(i, j)), None) for j in range(n + 1)}
+        for i, j in sorted(runs - {None}):
+            key = tuple(tuple(w) for _, w in full[i:j])
+            if seen.setdefault(key, (d, i)) != (d, i):
+                drop |= set(range(full[i][0], full[j - 1][0] + 1))
         want[d] = "".join(p for i, p in enumerate(parts) if i not in drop) if drop else t
     got = {r["id"]: r["text"] for r in substring_dedup.remove_repeated_spans(docs).collect()}
     assert got == want and any(want[d] != t for d, t in rows)
@@ -392,10 +392,16 @@ def test_repeated_spans_of_any_length(spark):
                     drop |= set(range(i, j))
         want[d] = len(drop), "".join(p + " " for i, p in enumerate(parts) if i not in drop)
     docs = spark.createDataFrame([(d, "".join(p + " " for p in parts)) for d, parts in enumerate(texts)], "doc_id long, text string").repartition(4)
-    got = {r["id"]: (r["n_removed"], r["text"]) for r in substring_dedup.remove_repeated_spans(docs, ends=True).collect()}
+    got = {r["id"]: (r["n_removed"], r["text"]) for r in substring_dedup.remove_repeated_spans(docs).collect()}
     assert got == want and got[1] == (4, "Head. Foot. ")
 
 
+def test_white_space_is_gone_through_once():
+    for text in ("a" + " " * 300_000 + "b", " \t" * 100_000 + "\n", "a.\n \n  b \n\n c? d", "\n\na", "", "İİ. Ab c.\nX"):
+        assert "".join(substring_dedup.sentences(text)) == text
+    assert substring_dedup.sentences("a. b\n \nc  d!  \n e…f") == ["a. ", "b\n \n", "c  d!  \n ", "e…f"]
+
+
 def test_cuts_of_long_sentences_follow_the_words(spark):
     random.seed(9)
     made = lambda n: ["".join(random.choice("abcdefghij") for _ in range(5)) for _ in range(n)]
@@ -407,7 +413,7 @@ def test_cuts_of_long_sentences_follow_the_words(spark):
     for _, t in rows:
         parts = substring_dedup.sentences(t)
         assert "".join(parts) == t and max(len(p.split()) for p in parts) <= 24
-    got = {r["id"]: r["text"] for r in substring_dedup.remove_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"), ends=True).collect()}
+    got = {r["id"]: r["text"] for r in substring_dedup.remove_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     gone = [len(rows[20 + d][1].split()) - len(got[100 + d].split()) for d in range(20)]
     assert min(gone) >= 16 and sum(gone) / 20 > 35 and all(got[d] == rows[d][1] for d in range(20))
     assert all({*rows[20 + d][1].split()} - {*got[100 + d].split()} <= {*p} for d, p in enumerate(shared))
@@ -424,6 +430,119 @@ def test_toxicity(spark, documents, nothing):
     assert toxicity.toxicity(nothing, labels).count() == 0
 
 
+def similar_groups(texts):
+    """Which texts reach each other by links of 5-word shingles at 0.8."""
+    sets = brute_sets(texts)
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    return groups_of(range(len(texts)), links)
+
+
+def line_groups(lines):
+    """Which lines reach each other by edits: none below 8 characters, one below 20, two from there on."""
+    allowed = lambda n: 0 if n < 8 else 1 if n < 20 else 2
+    links = []
+    for i in range(len(lines)):
+        for j in range(i):
+            most = allowed(min(len(lines[i]), len(lines[j])))
+            if abs(len(lines[i]) - len(lines[j])) <= most and lines[i] != lines[j] and edits(lines[i], lines[j], most) <= most:
+                links.append((i, j))
+    return groups_of(range(len(lines)), links)
+
+
+def edits(a, b, most):
+    """Plain edit distance, given up once every entry of a row is above ``most``."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, before = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+        if min(row) > most:
+            return most + 1
+    return row[-1]
+
+
+def pipeline_rows():
+    """Documents with copies, near copies, repeated lines, blank texts, null ids and ids that stand twice."""
+    random.seed(12)
+    word = lambda: "".join(random.choice("abcdefghijklmnop") for _ in range(random.randint(2, 8)))
+    line = lambda n: " ".join(word() for _ in range(n))
+    rows, bases = [], [[line(random.randint(4, 14)) for _ in range(random.randint(1, 6))] for _ in range(14)]
+    for i in range(60):
+        lines = list(random.choice(bases)) if i % 3 == 0 else [line(random.randint(1, 14)) for _ in range(random.randint(1, 6))]
+        if i % 4 == 0:
+            lines[random.randrange(len(lines))] += "x"
+        if i % 5 == 0:
+            lines.insert(random.randint(0, len(lines)), random.choice(["All rights reserved by us.", "Share this", "- 1 -"]))
+        rows.append([i, "\n".join(lines)])
+    rows += [[60, "one two three"], [61, "one two three"], [62, " "], [63, ""], [64, None], [None, rows[1][1]], [None, rows[1][1]], [3, rows[4][1]], [3, line(30)], [70, rows[2][1]], [70, rows[2][1]]]
+    long = line(60).split()
+    for k in range(4):  # similar on one line, yet too many edits for the line stage
+        rows.append([80 + k, " ".join(long[:30] + [word() + word()] + long[30:])])
+    return [(i, t, random.choice(["en", "de", None]), random.choice(["src0", "src1", "src2", "src5"]), len(t or ""), "kept", 1, 2, 3) for i, t in rows]
+
+
+def test_pipeline_by_plain_versions_of_its_stages(spark):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, line_text string, mix_copies int, toxicity int, row int"
+    rows = pipeline_rows()
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    stages = dict(corpus_pipeline.STAGES)
+    plain = lambda df: sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "", r["text"] is None) for r in df.collect())
+    # toxicity: its own model, applied in plain Python to every text
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    weights, bias = toxicity.train(docs, labels.filter(~toxicity.held_out("doc_id")))
+    stay = [r for r in rows if 1 / (1 + np.exp(-(bias + sum(weights[k] for k in set(toxicity.features([r[1]])[0].tolist()))))) < 0.7]
+    kept = cut_lineage(stages["toxicity"](spark, docs, SF))
+    assert kept.columns == docs.columns and sorted(map(repr, map(tuple, kept.collect()))) == sorted(map(repr, stay))
+
+    # line dedup: of the lines that edits connect the first stays; a document that loses all its words goes
+    key = {(r["doc_id"], r["text"]): r["k"] for r in kept.select("doc_id", "text", document_key("doc_id", "text").alias("k")).collect()}
+    order = sorted({(r[0], r[1]) for r in stay}, key=lambda r: (r[0] is None, r[0] or 0, key[r]))
+    lines = [(d, n, " ".join(x.split())) for d in order for n, x in enumerate((d[1] or "").split("\n")) if x.split()]
+    group = line_groups(sorted({x for _, _, x in lines}))
+    number = {x: group[i] for i, x in enumerate(sorted({x for _, _, x in lines}))}
+    first, gone = {}, defaultdict(set)
+    for d, n, x in lines:
+        if first.setdefault(number[x], (d, n)) != (d, n):
+            gone[d].add(n)
+    want = []
+    for r in stay:
+        d = (r[0], r[1])
+        text = "\n".join(x for n, x in enumerate(r[1].split("\n")) if n not in gone[d]) if gone[d] else r[1]
+        if not gone[d] or text.split():
+            want.append((r[0], text, *r[2:4], len(text) if gone[d] else r[4], *r[5:]))
+    deduped = cut_lineage(stages["line_dedup"](spark, kept, SF))
+    assert deduped.columns == docs.columns and sorted(map(repr, map(tuple, deduped.collect()))) == sorted(map(repr, want))
+    assert len(want) < len(stay) and any(gone.values())
+
+    # n-gram join: one row of each group, the smallest by id, text key and place; applied to rows with copies too
+    for before in (deduped, kept):
+        have = [(r["doc_id"], r["text"]) for r in before.collect()]
+        keys = {(r["doc_id"], r["text"]): r["k"] for r in before.select("doc_id", "text", F.xxhash64("text").alias("k")).collect()}
+        have.sort(key=lambda r: (r[0] is None, r[0] or 0, keys[r]))
+        one_each = [have[i] for i, top in similar_groups([t for _, t in have]).items() if i == top]
+        after = cut_lineage(stages["ngram_jaccard_join"](spark, before, SF))
+        assert after.columns == docs.columns
+        assert plain(after) == sorted((i is None, i or 0, t or "", t is None) for i, t in one_each) and len(one_each) < len(have)
+
+    # mixing: every copy that the mixture asks for, whole rows
+    mixed = cut_lineage(stages["source_mixing"](spark, deduped, SF))
+    asked = mixing.mix(deduped.drop("mix_copies"), queries.source_domain(), queries.MIX_WEIGHTS, corpus_pipeline.MIX_SHARE, corpus_pipeline.MIX_EPOCHS, corpus_pipeline.MIX_SEED)
+    want = sorted(repr((r["doc_id"], r["text"], r["n_chars"])) for r in asked.collect() for _ in range(r["mix_copies"]))
+    assert mixed.columns == docs.columns and sorted(repr((r["doc_id"], r["text"], r["n_chars"])) for r in mixed.collect()) == want
+
+    # ids and text of the library
+    library = Tokenizer.from_file(WORD)
+    encoded = stages["bpe"](spark, mixed, SF)
+    want = []
+    for r in mixed.collect():
+        ids = library.encode(r["text"] or "", add_special_tokens=False).ids
+        text = library.decode(ids, skip_special_tokens=False)
+        want.append(repr((r["doc_id"], len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())))
+    assert sorted(repr((r["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"])) for r in encoded.collect()) == sorted(want)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
@@ -439,7 +558,7 @@ def test_pipeline(spark):
             mixed = after
         before = after
     counts = dict(at)
-    assert counts["toxicity"] <= 200 and counts["line_dedup"] == counts["toxicity"] and counts["ngram_jaccard_join"] <= counts["line_dedup"]
+    assert counts["toxicity"] <= 200 and counts["line_dedup"] <= counts["toxicity"] and counts["ngram_jaccard_join"] <= counts["line_dedup"]
     library = Tokenizer.from_file(WORD)
     assert counts["bpe"] == counts["source_mixing"] == corpus_pipeline.run(spark, SF).count()
     source = {r["doc_id"]: len(library.encode(r["text"], add_special_tokens=False).ids) for r in mixed.collect()}

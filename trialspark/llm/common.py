@@ -77,6 +77,25 @@ def with_columns_of(df: DataFrame, schema_of: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in schema_of.columns])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until ``df`` has no such column (upper and lower case alike)."""
+    used = {c.lower() for c in df.columns}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+def put_aside(df: DataFrame, *prefixes: str, replaced: tuple[str, ...] = ()) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` without the ``replaced`` columns, those that begin with a prefix under free names, and their names by free name."""
+    df = df.drop(*[c for c in df.columns if c.lower() in replaced])
+    names: dict[str, str] = {}
+    for c in df.columns:
+        if c.lower().startswith(prefixes):
+            names[free := free_name(df, f"aside_{len(names)}")] = c
+            df = df.withColumnRenamed(c, free)
+    return df, names
+
+
 def slot_bitmap(df: DataFrame, column: str, bits: int = 22) -> np.ndarray:
     """Which of ``2 ** bits`` slots (the top bits of a 64-bit column) occur: a bitmap of fixed size."""
     slot = f"shiftrightunsigned(`{column}`, {64 - bits})"

@@ -7,10 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trialspark.llm.common import cut_lineage, document_key, in_bitmap, mix64, release, runs, slices, slot_bitmap, whole_groups
+from trialspark.llm.common import cut_lineage, document_key, in_bitmap, mix64, put_aside, release, runs, slices, slot_bitmap, whole_groups
 from trialspark.llm.components import connected_components
 
 #: Characters of one block that are compared in one task; a larger block is cut into tiles of about this size.
@@ -324,12 +324,14 @@ def remove_near_lines(
     lengths are left alone, and so are lines without characters. A text that loses no line comes back
     as it is: null stays null; one that loses all is empty. Rows that repeat id
     and text are one document and get the same text. Empty tables give no rows.
-    Columns named like the added ones or starting with ``_line`` are not allowed.
+    Columns of ``docs`` named like the added ones are replaced by them; all others
+    are kept whatever their names.
 
     Lines are identified by a 64-bit hash. Only lines that share a segment key
     with another are ever compared, block by block, a large block tile by tile.
     """
     steps = tiers(distance, shortest, shorter)
+    docs, names = put_aside(docs, "_line", replaced=("line_count", "lines_removed", "line_text"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("doc", document_key("id", "text"))
     kind = dict(texts.dtypes)["id"]
 
@@ -356,10 +358,16 @@ def remove_near_lines(
     keyed = docs.withColumn("_line_key", document_key(id_col, text_col))
     out = keyed.join(drop, keyed["_line_key"] == drop["_line_doc"], "left")
     lines = F.split(F.col(text_col), "\n", -1)
-    kept = F.filter(lines, lambda x, i: ~F.array_contains("_line_drop", i))
-    text = F.when(F.col("_line_drop").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+
+    def without(x: Column) -> Column:
+        stay = F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("_line_drop"))
+        return F.array_join(F.transform(stay, lambda i: F.get(x, i)), "\n")
+
+    # the lines are a variable, so a text is split once and not for each line
+    kept = F.transform(F.array(lines), without)[0]
+    text = F.when(F.col("_line_drop").isNull(), F.col(text_col)).otherwise(kept)
     return out.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
+        *[F.col(f"`{c}`").alias(names.get(c, c)) for c in docs.columns],
         F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.size(lines)).alias("line_count"),
         F.when(F.col("_line_drop").isNull(), F.lit(0)).otherwise(F.size("_line_drop")).alias("lines_removed"),
         text.alias("line_text"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trialspark.llm.common import cut_lineage
+from trialspark.llm.common import cut_lineage, put_aside
 
 #: Rows of a leaf in one block of its epoch order, on average.
 BLOCK_ROWS = 4096
@@ -92,9 +92,9 @@ def mix(
     more, in an order seeded by ``seed`` and the number of that epoch. The prefix
     ends before the row that would reach past the budget. Null ids, texts and
     levels are values of their own; rows without tokens are taken as their place
-    has it; equal rows are taken together. Empty tables give no rows, and columns
-    of ``docs`` that are named like the added ones or start with ``_mix`` are
-    not allowed.
+    has it; equal rows are taken together. Empty tables give no rows. Columns of
+    ``docs`` named like the added ones are replaced by them; all others are kept
+    whatever their names.
 
     The order is the MD5 of seed, epoch, id and text. A leaf is cut into blocks
     along its order, by its number of rows; blocks are summed first, so only the
@@ -103,6 +103,7 @@ def mix(
     decides for itself.
     """
     levels = ["mix_domain", language_col, source_col]
+    docs, names = put_aside(docs, "_mix", "__", replaced=("mix_domain", "mix_tokens", "mix_copies"))
     rows = docs.withColumns({"mix_domain": domain, "mix_tokens": word_count(F.col(text_col))})
     digest = F.md5(F.coalesce(F.col(text_col), F.lit("")))
     slim = cut_lineage(rows.select(F.col(id_col).cast("string").alias("_mix_id"), digest.alias("_mix_text"), *levels, "mix_tokens"))
@@ -137,4 +138,4 @@ def mix(
     taken = F.col("_mix_end").isNull() | (F.col("_mix_block") < F.col("_mix_end")) | at_end
     more = F.when((F.col("_mix_whole") < epochs) & taken, F.lit(1)).otherwise(F.lit(0))
     out = own.withColumn("mix_copies", F.col("_mix_whole") + more)
-    return out.select(*[F.col(f"`{c}`") for c in rows.columns], "mix_copies")
+    return out.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in rows.columns], "mix_copies")
