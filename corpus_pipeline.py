@@ -60,7 +60,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     held, names = put_aside(docs, "mix_")
     mixed = mixing.mix(held, source_domain(), MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED).filter("mix_copies > 0")
     copies = mixed.withColumn("mix_copies", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
-    return with_columns_of(copies.withColumnsRenamed(names), docs)
+    return with_columns_of(copies.drop("mix_domain", "mix_tokens", "mix_copies").withColumnsRenamed(names), docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
