@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trialspark.operators import aggregates as A
 from trialspark.operators import bins as B
+from trialspark.operators import boosting as Q
 from trialspark.operators import fits as M
 from trialspark.operators import flags as G
 from trialspark.operators import genotype as GT
@@ -264,6 +265,39 @@ def test_stability_rows_are_deviations_from_the_trial_mean(spark):
     assert got == [("", "a", 0.0), ("t1", "a", -2.0), ("t1", "b", 2.0), ("t1", "c", None), ("t2", "a", 0.0)]
 
 
+def test_boosted_quantiles_follow_the_spread_of_their_place(spark):
+    rng = np.random.default_rng(4)
+    n = 1500
+    x, z = rng.uniform(0, 1, n), rng.uniform(0, 1, n)
+    y = np.where(x < 0.5, 10.0, 50.0) + rng.normal(0, 1, n) * np.where(z < 0.5, 1.0, 8.0)
+    gone = rng.random(n) < 0.1
+    y[gone] = 100.0 + rng.normal(0, 1, gone.sum())
+    rows = [(i, None if gone[i] else float(x[i]), float("nan") if i == 0 else float(z[i]), float(y[i]) if i % 50 else None, i % 3, "kept") for i in range(n)]
+    df = spark.createDataFrame(rows, "i long, x double, z double, y double, f int, _note string")
+    for fold in (None, "f"):
+        out = Q.quantile_boosting(df, ["x", "z"], "y", (0.1, 0.5, 0.9), fold, rounds=6, depth=3)
+        assert out.columns == [*df.columns, "p10", "p50", "p90"] and out.count() == n
+        pdf = out.toPandas()
+        assert ((pdf.p10 <= pdf.p50) & (pdf.p50 <= pdf.p90)).all()
+        known = pdf[pdf.y.notna()]
+        for p, share in (("p10", 0.1), ("p50", 0.5), ("p90", 0.9)):
+            assert abs((known.y <= known[p]).mean() - share) < 0.07
+        at = lambda q: pdf[q & pdf.x.notna()]
+        assert abs(at(pdf.x < 0.45).p50.mean() - 10) < 3 and abs(at(pdf.x > 0.55).p50.mean() - 50) < 3
+        wide, narrow = (pdf.p90 - pdf.p10)[pdf.z > 0.6].mean(), (pdf.p90 - pdf.p10)[(pdf.z < 0.4) & pdf.x.notna()].mean()
+        assert wide > 1.3 * narrow and abs(pdf[pdf.x.isna()].p50.mean() - 100) < 5
+    assert Q.quantile_boosting(df.filter("y IS NULL"), ["x"], "y").filter("p50 IS NOT NULL").count() == 0
+    assert Q.quantile_boosting(df.limit(0), ["x"], "y").count() == 0
+
+
+def test_splits_send_missing_values_to_the_better_side():
+    total, count = np.array([[-8.0, 5.0, -5.0, -5.0]]), np.array([[8.0, 10.0, 10.0, 10.0]])
+    assert Q.best_split(total, count, 5) == (0, 0, False)
+    assert Q.best_split(-total * [[-1, 1, 1, 1]], count, 5) == (0, 0, False)
+    assert Q.best_split(np.array([[8.0, 5.0, -5.0, -5.0]]), count, 5) == (0, 0, True)
+    assert Q.best_split(np.zeros((1, 4)), count, 5) is None and Q.best_split(total, count, 30) is None
+
+
 # --- portfolio -------------------------------------------------------------------------
 
 def test_lifecycle_restarts_after_a_gap_and_retirement_absorbs(spark):

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialspark.operators import fits as M
+from trialspark.operators.boosting import quantile_boosting
 from trialspark.plans.registry import Tables, plan
 from trialspark.plans.views import PREDICTIONS, TRIAL, beta_sql, f_sf_sql, predictions, trial, with_clauses
 
@@ -175,6 +176,21 @@ def boosted_regression_bounds(t: Tables) -> DataFrame:
     )
 
 
+@plan("G14 E21", """
+SELECT k, count(*) AS n, true AS in_order, true AS low_fits, true AS middle_fits, true AS high_fits FROM (SELECT l_suppkey % 3 AS k FROM lineitem JOIN part ON l_partkey = p_partkey) GROUP BY k""")
+def quantiles_of_unseen_groups(t: Tables) -> DataFrame:
+    """Quantiles predicted for groups that were not learnt from: in order, and about 10, 50 and 90 of 100 rows lie below them."""
+    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
+        (F.col("l_suppkey") % 3).alias("k"), F.when(F.col("l_orderkey") % 7 != 0, F.col("l_quantity")).alias("quantity"), "p_size", "l_tax", F.col("l_extendedprice").alias("y")
+    )
+    out = quantile_boosting(rows, ["quantity", "p_size", "l_tax"], "y", (0.1, 0.5, 0.9), fold="k", rounds=4, depth=2)
+    below = lambda c, low, high: F.avg((F.col("y") <= F.col(c)).cast("double")).between(low, high)
+    return out.groupBy("k").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and((F.col("p10") <= F.col("p50")) & (F.col("p50") <= F.col("p90"))).alias("in_order"),
+        below("p10", 0.05, 0.15).alias("low_fits"), below("p50", 0.44, 0.56).alias("middle_fits"), below("p90", 0.85, 0.95).alias("high_fits"),
+    )
+
+
 @plan("G15 G17")
 def boosted_classifier_out_of_fold(t: Tables) -> DataFrame:
     rows = t.labels.join(t.documents, "doc_id").select("doc_id", "quality", F.col("n_chars").cast("double").alias("n_chars"), "lang", F.length("source").alias("n_source"))
