@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trialspark.operators import aggregates as A
 from trialspark.operators import bins as B
 from trialspark.operators import boosting as Q
+from trialspark.operators import components as C
 from trialspark.operators import fits as M
 from trialspark.operators import flags as G
 from trialspark.operators import genotype as GT
@@ -298,6 +299,24 @@ def test_splits_send_missing_values_to_the_better_side():
     assert Q.best_split(np.zeros((1, 4)), count, 5) is None and Q.best_split(total, count, 30) is None
 
 
+def test_components_are_those_of_the_whole_matrix(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 1, (700, 3)) @ rng.normal(0, 3, (3, 30)) + rng.normal(0, 0.01, (700, 30)) + 5
+    rows = [(i, 2000 + i % 3, x[i].tolist()) for i in range(700)] + [(700, 2000, None), (701, 2000, [1.0]), (702, 2001, [None] * 30), (703, 2003, x[0].tolist())]
+    df = spark.createDataFrame(rows, "i long, y int, v array<double>").repartition(20)
+    got = {r.i: r for r in C.principal_components(df, "v", ["i"], "y", 2002, 3).collect()}
+    fit = x[[i for i in range(700) if i % 3 < 2]]
+    directions = np.linalg.svd(fit - fit.mean(axis=0), full_matrices=False)[2][:3]
+    directions *= np.sign(directions[np.arange(3), np.abs(directions).argmax(axis=1)])[:, None]
+    want = (x - fit.mean(axis=0)) @ directions.T
+    assert len(got) == 703 and all(got[i].comp_0 is None for i in (700, 701, 702))
+    assert np.allclose([[got[i][f"comp_{j}"] for j in range(3)] for i in range(700)], want, atol=1e-3)
+    assert C.principal_components(df.filter("i > 699"), "v", ["i"], "y", 2000, 2).filter("comp_0 IS NOT NULL").count() == 0
+    a, b = C.of_batch(x[:300], 30), C.of_batch(x[300:], 30)
+    n, mean, basis = C.merged([a, b], 30)
+    assert n == 700 and np.allclose(mean, x.mean(axis=0)) and np.allclose(basis.T @ basis, (x - mean).T @ (x - mean))
+
+
 # --- portfolio -------------------------------------------------------------------------
 
 def test_lifecycle_restarts_after_a_gap_and_retirement_absorbs(spark):

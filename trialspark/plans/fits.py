@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trialspark.operators import fits as M
 from trialspark.operators.boosting import quantile_boosting
+from trialspark.operators.components import principal_components as principal_components_of
 from trialspark.plans.registry import Tables, plan
 from trialspark.plans.views import PREDICTIONS, TRIAL, beta_sql, f_sf_sql, predictions, trial, with_clauses
 
@@ -136,7 +137,30 @@ def smoothed_rate_curve(t: Tables) -> DataFrame:
 @plan("G12")
 def principal_components(t: Tables) -> DataFrame:
     rows = t.embeddings.withColumn("year", F.lit(2018) + F.col("label"))
-    return M.principal_components(rows, "embedding", ["vec_id"], "year", 2026, 8)
+    return principal_components_of(rows, "embedding", ["vec_id"], "year", 2026, 8)
+
+
+@plan("G12", """
+SELECT count(*) AS n, count(*) FILTER (2018 + label < 2026) AS n_fitted, true AS centred, true AS uncorrelated, true AS descending, true AS all_of_the_spread FROM embeddings WHERE 2018 + label <= 2026""")
+def components_of_all_columns(t: Tables) -> DataFrame:
+    """With as many components as columns: centred, uncorrelated, in falling order, and together the spread of all columns."""
+    rows = t.embeddings.withColumn("year", F.lit(2018) + F.col("label"))
+    out = principal_components_of(rows, "embedding", ["vec_id"], "year", 2026, 64)
+    comps, fitted = [f"comp_{i}" for i in range(64)], F.col("year") < 2026
+    of = lambda c: F.when(fitted, F.col(c))
+    facts = out.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(fitted).alias("n_fitted"),
+        F.greatest(*[F.abs(F.avg(of(c))) for c in comps]).alias("mean"),
+        F.greatest(*[F.abs(F.corr(of(a), of(b))) for a, b in zip(comps[:8], comps[1:9])]).alias("corr"),
+        F.array(*[F.var_pop(of(c)) for c in comps]).alias("spread"),
+    )
+    columns = rows.filter(fitted).agg(sum((F.var_pop(F.col("embedding")[i].cast("double")) for i in range(64)), F.lit(0.0)).alias("total"))
+    total = F.aggregate("spread", F.lit(0.0), lambda a, b: a + b)
+    falling = F.forall(F.sequence(F.lit(0), F.lit(62)), lambda i: F.get(F.col("spread"), i) >= F.get(F.col("spread"), i + 1) - 1e-9)
+    return facts.crossJoin(columns).select(
+        "n", "n_fitted", (F.col("mean") < 1e-9).alias("centred"), (F.col("corr") < 1e-6).alias("uncorrelated"),
+        falling.alias("descending"), (F.abs(total / F.col("total") - 1) < 1e-9).alias("all_of_the_spread"),
+    )
 
 
 @plan("G13 E22")
