@@ -294,7 +294,7 @@ def test_boosted_quantiles_follow_the_spread_of_their_place(spark):
 def test_splits_send_missing_values_to_the_better_side():
     total, count = np.array([[-8.0, 5.0, -5.0, -5.0]]), np.array([[8.0, 10.0, 10.0, 10.0]])
     assert Q.best_split(total, count, 5) == (0, 0, False)
-    assert Q.best_split(-total * [[-1, 1, 1, 1]], count, 5) == (0, 0, False)
+    assert Q.best_split(np.array([[-8.0, -5.0, 5.0, 5.0]]), count, 5) == (0, 0, True)
     assert Q.best_split(np.array([[8.0, 5.0, -5.0, -5.0]]), count, 5) == (0, 0, True)
     assert Q.best_split(np.zeros((1, 4)), count, 5) is None and Q.best_split(total, count, 30) is None
 
