@@ -134,7 +134,6 @@ class Encoder:
         self.controls = regex.compile(r"[\x1c-\x1f]")
         self.special = regex.compile("(" + "|".join(map(regex.escape, v.special)) + ")") if v.special else None
         self.ids: dict[str, bytes] = {}
-        self.texts: dict[str, bytes] = {}
         self.alphabet: dict[str, bool] = {}
         self.library = None
 
@@ -176,20 +175,18 @@ class Encoder:
     def learn(self, texts: list[list[str]]) -> None:
         """Encode the pieces of ``texts`` that are not remembered, all at once."""
         if len(self.ids) > self.remember:
-            self.ids, self.texts = {}, {}
+            self.ids = {}
         if not self.ids:
-            for token, i in self.v.special.items():
-                self.ids[token], self.texts[token] = i.to_bytes(4, "little"), token.encode()
+            self.ids = {token: i.to_bytes(4, "little") for token, i in self.v.special.items()}
         new = list(set().union(*texts) - self.ids.keys())
         cut = [[p[1:]] if p[0] == "\n" else self.find(p) for p in new]
         words = [w.encode("utf-8", "surrogatepass") for c in cut for w in c]
         symbols, counts = encode_words(words, self.v)
         words_before = np.cumsum([0, *map(len, cut)])
         ends = np.r_[0, np.cumsum(counts)][words_before].tolist()
-        flat, symbols, written = symbols.astype("<u4").tobytes(), symbols.tolist(), self.v.written
+        flat = symbols.astype("<u4").tobytes()
         for piece, start, end in zip(new, ends, ends[1:]):
             self.ids[piece] = flat[4 * start : 4 * end]
-            self.texts[piece] = b" ".join([written[s] for s in symbols[start:end]])
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, list[str]]]:
         """Ids of each text as little-endian 32-bit integers, with its pieces."""
@@ -199,8 +196,8 @@ class Encoder:
             yield b"".join(map(self.ids.__getitem__, pieces)), pieces
 
     def written(self, pieces: list[str]) -> bytes:
-        """Written form of all ids of the pieces, joined by spaces."""
-        return b" ".join(filter(None, map(self.texts.__getitem__, pieces)))
+        """Text of the ids of the pieces."""
+        return self.decode(b"".join(map(self.ids.__getitem__, pieces)))
 
     def decode(self, ids: bytes) -> bytes:
         """Text of ids: their written forms, joined by spaces."""
@@ -237,9 +234,9 @@ def encode_documents(
         encoder = encoder_of(tables.value)
         for batch in slices(batches, "text", 1 << 20):
             codes, decoded = [], []
-            for code, pieces in encoder.encode(batch.column("text").to_pylist()):
+            for code, _ in encoder.encode(batch.column("text").to_pylist()):
                 codes.append(code)
-                decoded.append(encoder.written(pieces))
+                decoded.append(encoder.decode(code))
             out = {"id": batch.column("id"), "n_tokens": pa.array([len(c) // 4 for c in codes], pa.int64())}
             if ids:
                 out |= {"ids": pa.array(codes, pa.binary()), "decoded": pa.array([d.decode() for d in decoded], pa.string())}
