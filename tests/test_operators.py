@@ -450,3 +450,28 @@ def test_run_folders_and_partition_replacement(spark, tmp_path):
     IO.write_parquet(df, str(tmp_path / "p"), ["k"])
     IO.replace_partitions(spark.createDataFrame([(2, "c")], "k int, v string"), str(tmp_path / "p"), ["k"])
     assert {(r.k, r.v) for r in spark.read.parquet(str(tmp_path / "p")).collect()} == {(1, "a"), (2, "c")}
+
+
+def test_published_tables_replace_what_they_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    IO.publish(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), path)
+    new = spark.createDataFrame([(2, "z"), (2, "c"), (3, "d")], "k int, v string")
+    IO.upsert_table(new, path, ["k"], [F.col("v").desc()])
+    IO.upsert_table(new.filter("v = 'c'"), path, ["k"])
+    now = lambda: sorted((r.k, r.v) for r in spark.read.parquet(path).collect())
+    assert now() == [(1, "a"), (2, "c"), (3, "d")]
+    IO.replace_groups_in_table(spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string"), path, ["k"])
+    assert now() == [(1, "x"), (1, "y"), (2, "c"), (3, "d")]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_failed_and_interrupted_publishing_keeps_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    IO.publish(spark.createDataFrame([(1, "a")], "k int, v string"), path)
+    with pytest.raises(Exception, match="no such row"):
+        IO.publish(spark.read.parquet(path).select("k", F.raise_error(F.lit("no such row")).cast("string").alias("v")), path)
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [(1, "a")]
+    (tmp_path / "t").rename(tmp_path / "_t.last-lost")
+    IO.upsert_table(spark.createDataFrame([(2, "b")], "k int, v string"), path, ["k"])
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "a"), (2, "b")]

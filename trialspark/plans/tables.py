@@ -121,6 +121,34 @@ def keyed_upsert(t: Tables) -> DataFrame:
     return io.upsert(old, new, ["s_suppkey"])
 
 
+@plan("IO15", """
+WITH a AS (SELECT o_orderkey % 5000 AS k, o_totalprice AS price, o_orderkey AS id FROM orders),
+b AS (SELECT k + 2500 AS k, price * 2 AS price, id FROM a),
+all_ AS (SELECT *, 0 AS step FROM (SELECT k, price, id FROM a QUALIFY row_number() OVER (PARTITION BY k ORDER BY id) = 1)
+  UNION ALL SELECT *, 1 FROM (SELECT k, price, id FROM b QUALIFY row_number() OVER (PARTITION BY k ORDER BY id DESC) = 1)
+  UNION ALL SELECT *, 2 FROM (SELECT k, -price, id FROM a WHERE id % 2 = 0 QUALIFY row_number() OVER (PARTITION BY k ORDER BY id DESC) = 1))
+SELECT k, price, id FROM all_ QUALIFY row_number() OVER (PARTITION BY k ORDER BY step DESC) = 1""")
+def upserts_over_own_table(t: Tables) -> DataFrame:
+    path = _work_folder(t, "upserted")
+    rows = t.orders.select((F.col("o_orderkey") % 5000).alias("k"), F.col("o_totalprice").alias("price"), F.col("o_orderkey").alias("id"))
+    io.publish(rows.transform(lambda df: io.upsert(df.limit(0), df, ["k"], ["id"])), path)
+    io.upsert_table(rows.select((F.col("k") + 2500).alias("k"), (F.col("price") * 2).alias("price"), "id"), path, ["k"], [F.col("id").desc()])
+    io.upsert_table(rows.filter("id % 2 = 0").withColumn("price", -F.col("price")), path, ["k"], [F.col("id").desc()])
+    return t.spark.read.parquet(path)
+
+
+@plan("IO13", """
+SELECT l_suppkey, l_orderkey, l_linenumber, CASE WHEN l_suppkey % 3 = 0 THEN 2 * l_quantity WHEN l_suppkey % 2 = 0 THEN -l_quantity ELSE l_quantity END AS quantity
+FROM lineitem WHERE l_suppkey % 3 <> 0 AND l_suppkey % 2 <> 0 OR l_suppkey % 3 <> 0 AND l_linenumber = 1 OR l_suppkey % 3 = 0 AND l_linenumber < 3""")
+def groups_replaced_in_own_table(t: Tables) -> DataFrame:
+    path = _work_folder(t, "replaced")
+    rows = t.lineitem.select("l_suppkey", "l_orderkey", "l_linenumber", F.col("l_quantity").alias("quantity"))
+    io.publish(rows, path)
+    io.replace_groups_in_table(rows.filter("l_suppkey % 2 = 0 AND l_linenumber = 1").withColumn("quantity", -F.col("quantity")), path, ["l_suppkey"])
+    io.replace_groups_in_table(rows.filter("l_suppkey % 3 = 0 AND l_linenumber < 3").withColumn("quantity", 2 * F.col("quantity")), path, ["l_suppkey"])
+    return t.spark.read.parquet(path)
+
+
 @plan("IO17 S5", """
 WITH log AS (SELECT user_id, event_type, CAST(day(ts) AS INTEGER) AS run, event_id FROM events)
 SELECT user_id, event_type, run, event_id FROM log

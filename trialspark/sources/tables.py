@@ -2,13 +2,15 @@
 
 Maintenance operators come in two forms: a DataFrame form that returns the new
 table content, and a folder form that publishes it. Folder forms rewrite only
-the partitions that changed, or write a new run folder that readers select by
-its run id, so no job overwrites what it is still reading.
+the partitions that changed, write a new run folder that readers select by its
+run id, or stage the new table beside the old one and take its place by rename,
+so no job overwrites what it is still reading.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -81,6 +83,60 @@ def write_run(df: DataFrame, path: str, run_id: str) -> None:
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_id={run_id}")
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The path as Hadoop knows it, and its file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _beside(at, kind: str, run: str) -> str:
+    """A hidden name next to a table, which readers of the folder above skip."""
+    return f"{at.getParent().toString()}/_{at.getName()}.{kind}-{run}"
+
+
+def settle(spark: SparkSession, path: str) -> None:
+    """Put a table back in its place when a run ended between the two renames of :func:`publish`."""
+    at, fs = _file_system(spark, path)
+    if not fs.exists(at):
+        left = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(_beside(at, "last", "*")))
+        if left:
+            newest = max(left, key=lambda s: s.getModificationTime())
+            if not fs.rename(newest.getPath(), at):
+                raise OSError(f"{newest.getPath().toString()} could not be put back to {path}")
+
+
+def publish(df: DataFrame, path: str, partition_by: Sequence[str] = (), run_id: str | None = None) -> None:
+    """Replace the table at ``path`` by ``df``, which may be computed from that very table.
+
+    The new table is written whole beside the old one under the id of the run;
+    only then the old one steps aside, the new one takes its name, and the old
+    files go. A run that fails while it computes or writes leaves the old table
+    as it was; one that ends between the renames is mended by :func:`settle`,
+    which the next call runs first. Renames are steps of the file system (one
+    step on HDFS and on disks, a copy on most object stores); writers of the
+    same table must not run at the same time.
+    """
+    spark = df.sparkSession
+    settle(spark, path)
+    at, fs = _file_system(spark, path)
+    run = run_id or uuid.uuid4().hex
+    staged, last = (_file_system(spark, _beside(at, kind, run))[0] for kind in ("next", "last"))
+    try:
+        write_parquet(df, staged.toString(), partition_by)
+    except Exception:
+        fs.delete(staged, True)
+        raise
+    had = fs.exists(at)
+    if had and not fs.rename(at, last):
+        raise OSError(f"{path} could not step aside")
+    if not fs.rename(staged, at):
+        if had:
+            fs.rename(last, at)
+        raise OSError(f"{staged.toString()} could not take the place of {path}")
+    if had:
+        fs.delete(last, True)
+
+
 def newest_run(df: DataFrame, run_col: str = "run_id") -> DataFrame:
     """Rows of the newest run. On a partition column this prunes to one folder."""
     newest = df.agg(F.max(run_col).alias("_newest"))
@@ -121,13 +177,29 @@ def replace_slice(old: DataFrame, new: DataFrame, inside: Column) -> DataFrame:
     return old.filter(~F.coalesce(inside, F.lit(False))).unionByName(new, allowMissingColumns=True)
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Insert ``new`` and let it win over rows of ``old`` with the same key; of several new rows the smallest wins."""
-    w = Window.partitionBy(*keys).orderBy(*[c for c in new.columns if c not in keys] or keys)
+def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = ()) -> DataFrame:
+    """Insert ``new`` and let it win over rows of ``old`` with the same key.
+
+    Of several new rows with a key the first under ``order`` wins, without an
+    order the smallest by all its columns.
+    """
+    w = Window.partitionBy(*keys).orderBy(*(list(order) or [c for c in new.columns if c not in keys] or keys))
     once = new.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
     return replace_groups(old, once, keys)
 
 
+def upsert_table(new: DataFrame, path: str, keys: Sequence[str], order: Sequence[str | Column] = (), partition_by: Sequence[str] = ()) -> None:
+    """Upsert rows into the table at ``path`` and publish the result in its place."""
+    settle(new.sparkSession, path)
+    publish(upsert(new.sparkSession.read.parquet(path), new, keys, order), path, partition_by)
+
+
+def replace_groups_in_table(new: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = ()) -> None:
+    """Replace the groups found in ``new`` in the table at ``path`` and publish the result in its place."""
+    settle(new.sparkSession, path)
+    publish(replace_groups(new.sparkSession.read.parquet(path), new, keys), path, partition_by)
+
+
 def append_log(log: DataFrame, batch: DataFrame, keys: Sequence[str], run_col: str, keep: str = "last") -> DataFrame:
     """Append a batch of results and keep the first or the last run of each key; of equal runs the smallest row."""
     order = F.col(run_col).desc() if keep == "last" else F.col(run_col).asc()
