@@ -435,6 +435,51 @@ def test_pair_moments_are_pairwise_complete(spark):
     assert np.allclose(got["cov"], pdf.cov().to_numpy())
 
 
+@pytest.mark.parametrize("width", [2, 3, 512])
+def test_moments_by_tiles(spark, width):
+    rng = np.random.default_rng(12)
+    pdf = pd.DataFrame({f"c{i}": rng.normal(i * 100, 1 + i, 200) for i in range(5)})
+    pdf["c3"] = pdf.c1 * 2 + rng.normal(size=200)
+    pdf = pdf.mask(rng.random(pdf.shape) < 0.2)
+    pdf["flat"], pdf["none"] = 4.0, np.nan
+    df = spark.createDataFrame(pdf)
+    df = df.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in df.columns]).repartition(5)
+    table, _ = E.moment_table(df, df.columns, width)
+    got = {(r.i, r.j): r for r in table.collect()}
+    assert len(got) == 28 and got[0, 6].n == 0 and got[0, 6].cov is None and got[0, 5].corr is None
+    cov, corr = pdf.cov().to_numpy(), pdf.corr().to_numpy()
+    for i, j in itertools.combinations_with_replacement(range(5), 2):
+        assert got[i, j].n == (pdf.iloc[:, i].notna() & pdf.iloc[:, j].notna()).sum()
+        assert got[i, j].cov == pytest.approx(cov[i, j]) and got[i, j].corr == pytest.approx(corr[i, j])
+
+
+def test_moments_of_no_rows(spark):
+    df = spark.createDataFrame([], "a double, b double")
+    assert E.moment_table(df, ["a", "b"])[0].count() == 0
+    assert E.independent_features(df, ["a", "b"]) == ["a", "b"]
+
+
+def test_features_are_kept_in_order(spark):
+    rng = np.random.default_rng(13)
+    pdf = pd.DataFrame({f"f{i}": rng.normal(5, 1, 150) for i in range(4)})
+    for i in range(4, 12):
+        pdf[f"f{i}"] = pdf[f"f{i - 3}"] ** (1 + i % 2) + rng.normal(0, 0.02 * i, 150)
+    want: list[str] = []
+    r2 = lambda a, b: np.corrcoef(a, b)[0, 1] ** 2
+    for c in pdf:
+        a = pdf[c]
+        if all(max(r2(a, b), r2(a, b**2), r2(a**2, b)) < 0.92 for b in (pdf[k] for k in want)):
+            want.append(c)
+    assert 4 <= len(want) < 12 and E.independent_features(spark.createDataFrame(pdf), list(pdf)) == want
+
+
+def test_joined_texts_of_a_hot_key(spark):
+    rows = [(1, f"v{i % 997:04d}", "x") for i in range(6000)] + [(2, "b", None), (2, "a", None), (2, "", "y"), (None, "n", "z"), (None, None, "z"), (3, None, None)]
+    df = spark.createDataFrame(rows, "k int, a string, b string").repartition(6)
+    got = {r.k: (r.as_, r.bs) for r in A.unique_texts(df, ["k"], {"a": "as_", "b": "bs"}, "|").collect()}
+    assert got == {1: ("|".join(f"v{i:04d}" for i in range(997)), "x"), 2: ("|a|b", "y"), None: ("n", "z"), 3: ("", "")}
+
+
 def test_mahalanobis_among_identical_neighbours_is_zero(spark):
     rows = spark.createDataFrame([(1, 5.0, 5.0)], "r int, a double, b double")
     points = spark.createDataFrame([(i, 5.0, 5.0) for i in range(4)], "p int, a double, b double")

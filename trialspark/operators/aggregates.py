@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trialspark.operators.keyed import attach_row, group_ranks, null_safe_join, running_totals, with_group_values
+from trialspark.session import cut_lineage
 
 
 # --- aggregate expressions ---------------------------------------------------
@@ -51,11 +52,6 @@ def correlation(x: str, y: str) -> Column:
     return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
 
 
-def unique_strings(x: str, separator: str = ",") -> Column:
-    """Distinct values in order, joined to one string."""
-    return F.array_join(F.array_sort(F.collect_set(x)), separator)
-
-
 def latest_value(x: str, order: Column) -> Column:
     """The value of the row with the largest order; rows without a value do not take part."""
     return F.max_by(x, F.when(F.col(x).isNotNull(), order))
@@ -91,6 +87,28 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: d
     return found.select(*keys, *[c.alias(n) for n, c in out.items()])
 
 
+def unique_texts(df: DataFrame, keys: Sequence[str], columns: dict[str, str], separator: str = ",") -> DataFrame:
+    """Distinct known values of text columns per key, in order and joined, one column per name of ``{column: name}``.
+
+    The distinct values of all columns are dealt out by ranges of key and value,
+    joined per range, and the ranges of a key in their order: a key of many
+    values spreads over tasks up to the text that is its result. Null keys are
+    a key; one without known values reads an empty text.
+    """
+    names = list(columns.values())
+    pairs = F.array(*[F.struct(F.lit(i).alias("_column"), F.col(c).cast("string").alias("_text")) for i, c in enumerate(columns)])
+    tall = df.select(*keys, F.explode(pairs).alias("_v")).select(*keys, "_v.*").distinct()
+    placed = cut_lineage(tall.repartitionByRange(*keys, "_column", "_text").withColumn("_block", F.spark_partition_id()))
+    ordered = F.array_sort(F.collect_list("_text"))
+    ranges = placed.groupBy(*keys, "_column", "_block").agg(F.when(F.size(ordered) > 0, F.array_join(ordered, separator)).alias("_joined"))
+
+    def whole(i: int) -> Column:
+        parts = F.collect_list(F.when((F.col("_column") == i) & F.col("_joined").isNotNull(), F.struct("_block", "_joined")))
+        return F.array_join(F.transform(F.array_sort(parts), lambda r: r["_joined"]), separator)
+
+    return ranges.groupBy(*keys).agg(*[whole(i).alias(n) for i, n in enumerate(names)])
+
+
 def unpivot(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str = "variable", value: str = "value") -> DataFrame:
     """Columns to (name, value) rows; values are read as doubles."""
     numeric = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in columns])

@@ -6,13 +6,14 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialspark.functions.probability import chi2_sf
 from trialspark.operators.aggregates import percentiles, weighted_mean, weighted_stddev, weighted_variance
 from trialspark.operators.headtohead import with_mean_interval
-from trialspark.operators.keyed import group_ranks, null_safe_join, with_group_values
+from trialspark.operators.keyed import group_ranks, kept_in_order, null_safe_join, with_group_values
 
 
 def join_rounded(df: DataFrame, grid: DataFrame, rounded: Sequence[str], keys: Sequence[str], digits: int = 2) -> DataFrame:
@@ -110,46 +111,96 @@ def prediction_summary(df: DataFrame, keys: Sequence[str], value: str) -> DataFr
     return with_mean_interval(null_safe_join(base, quartiles, keys), "mean", "stddev", "n_obs")
 
 
-def pair_moments(df: DataFrame, columns: Sequence[str | Column]) -> dict[str, np.ndarray]:
-    """Pairwise-complete counts, means, covariances and correlations of columns in one pass.
+#: Columns of one tile of pairwise moments; a task holds the sums of one tile at a time.
+TILE_COLUMNS = 512
+
+
+def moment_table(df: DataFrame, columns: Sequence[str | Column], width: int = TILE_COLUMNS) -> tuple[DataFrame, list[float]]:
+    """Pairwise-complete moments of columns, one row per pair of places ``i <= j``, and the column means.
 
-    Every task adds up products of its batches and emits one row of matrices of
-    the size of the column list, so the rows are neither shuffled nor paired.
-    Values are shifted by the column means first to keep the sums accurate.
+    Rows are ``i, j, n, cov, corr``; ``cov`` is null below two common rows and
+    ``corr`` where a column does not vary among them. Columns are cut into
+    blocks of ``width``, and every two blocks are a tile. Tasks add up products of
+    their batches, one tile after another, so memory follows the width and not the
+    number of columns. Up to ``width`` columns are one tile, summed where the
+    rows lie; more of them are dealt out by tile and slice of the rows. Values are
+    shifted by the column means first to keep the sums accurate; only these
+    means pass through the driver.
     """
     p = len(columns)
-    if p > 2000:
-        raise ValueError("pairwise moments of more than 2000 columns do not fit the driver")
     exprs = [(F.col(c) if isinstance(c, str) else c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)]
     rows = df.select(*exprs)
-    centre = np.array([v if v is not None else 0.0 for v in rows.agg(*[F.avg(f"x{i}") for i in range(p)]).first()], dtype=float)
-
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = {k: np.zeros((p, p)) for k in ("n", "x", "xx", "xy")}
-        for pdf in batches:
-            x = pdf.to_numpy(dtype=float) - centre
-            known = ~np.isnan(x)
-            x = np.where(known, x, 0.0)
-            m = known.astype(float)
-            sums["n"] += m.T @ m
-            sums["x"] += x.T @ m
-            sums["xx"] += (x * x).T @ m
-            sums["xy"] += x.T @ x
-        yield pd.DataFrame({k: [v.ravel()] for k, v in sums.items()})
-
-    schema = ", ".join(f"{k} array<double>" for k in ("n", "x", "xx", "xy"))
-    tall = rows.mapInPandas(partial, schema).select(F.posexplode(F.arrays_zip("n", "x", "xx", "xy")).alias("at", "s"))
-    total = tall.groupBy("at").agg(*[F.sum(f"s.{k}").alias(k) for k in ("n", "x", "xx", "xy")]).orderBy("at").toPandas()
-    n, x, xx, xy = (total[k].to_numpy().reshape(p, p) for k in ("n", "x", "xx", "xy"))
-    with np.errstate(all="ignore"):
-        cross = xy - x * x.T / n
-        spread = xx - x * x / n
-        return {
-            "n": n,
-            "mean": centre,
-            "cov": cross / (n - 1),
-            "corr": np.clip(cross / np.sqrt(np.maximum(spread, 0) * np.maximum(spread, 0).T), -1, 1),
-        }
+    centre = [v if v is not None else 0.0 for v in rows.agg(*[F.avg(f"x{i}") for i in range(p)]).first()]
+    starts = range(0, p, width)
+    known = [F.coalesce(F.col(f"x{i}") - F.lit(float(m)), F.lit(float("nan"))) for i, m in enumerate(centre)]
+    blocks = rows.select(*[F.array(*known[a : a + width]).alias(f"_b{i}") for i, a in enumerate(starts)])
+    none = F.lit(None).cast("array<double>")
+    tile = lambda i, j: F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"_b{i}").alias("a"), (none if i == j else F.col(f"_b{j}")).alias("b"))
+    tiles = [tile(i, j) for i in range(len(starts)) for j in range(i, len(starts))]
+    if len(tiles) == 1:
+        dealt = blocks.select(tiles[0].alias("_t")).select("_t.*")
+    else:
+        part = F.pmod(F.xxhash64(*blocks.columns), F.lit(1 << 10))
+        spread = blocks.select(F.explode(F.array(*tiles)).alias("_t"), part.alias("_part")).select("_t.*", "_part")
+        dealt = spread.repartition("i", "j", "_part").sortWithinPartitions("i", "j").drop("_part")
+    sums = ("n", "x", "y", "xx", "yy", "xy")
+
+    def matrix(column: pa.Array, size: int) -> np.ndarray:
+        return column.flatten().to_numpy(zero_copy_only=False).reshape(size, -1)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, None
+
+        def out() -> pa.RecordBatch:
+            values = [pa.array([v], pa.int32()) for v in at] + [pa.array([h.ravel()], pa.list_(pa.float64())) for h in held]
+            return pa.RecordBatch.from_arrays(values, ["i", "j", *sums])
+
+        for batch in batches:
+            i, j = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("i", "j"))
+            cuts = np.flatnonzero(np.r_[True, (i[1:] != i[:-1]) | (j[1:] != j[:-1])]) if len(i) else []
+            for start, stop in zip(cuts, [*cuts[1:], len(i)]):
+                some = batch.slice(start, stop - start)
+                x = matrix(some.column("a"), len(some))
+                y = x if i[start] == j[start] else matrix(some.column("b"), len(some))
+                if at != (i[start], j[start]):
+                    if at is not None:
+                        yield out()
+                    at, held = (i[start], j[start]), [np.zeros((x.shape[1], y.shape[1])) for _ in sums]
+                m, k = (~np.isnan(v) for v in (x, y))
+                x, y, m, k = np.where(m, x, 0.0), np.where(k, y, 0.0), m.astype(float), k.astype(float)
+                for h, (u, v) in zip(held, ((m, k), (x, k), (m, y), (x * x, k), (m, y * y), (x, y))):
+                    h += u.T @ v
+        if at is not None:
+            yield out()
+
+    schema = "i int, j int, " + ", ".join(f"{k} array<double>" for k in sums)
+    tall = dealt.mapInArrow(partial, schema).select("i", "j", F.posexplode(F.arrays_zip(*sums)).alias("_at", "_s"))
+    across = F.least(F.lit(width), F.lit(p) - F.col("j") * width)
+    place = tall.select(
+        (F.col("i") * width + F.floor(F.col("_at") / across)).cast("int").alias("i"), (F.col("j") * width + F.col("_at") % across).cast("int").alias("j"), "_s.*"
+    ).filter("i <= j")
+    total = place.groupBy("i", "j").agg(*[F.sum(k).alias(k) for k in sums])
+    n = F.nullif(F.col("n"), F.lit(0.0))
+    cross = F.col("xy") - F.col("x") * F.col("y") / n
+    spread_x, spread_y = (F.greatest(F.col(f"{c}{c}") - F.col(c) * F.col(c) / n, F.lit(0.0)) for c in "xy")
+    corr = cross / F.nullif(F.sqrt(spread_x) * F.sqrt(spread_y), F.lit(0.0))
+    bounded = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), corr))
+    out = total.select(
+        "i", "j", F.col("n").cast("long").alias("n"), (cross / F.nullif(F.col("n") - 1, F.lit(0.0))).alias("cov"), F.when(corr.isNotNull(), bounded).alias("corr")
+    )
+    return out, centre
+
+
+def pair_moments(df: DataFrame, columns: Sequence[str | Column]) -> dict[str, np.ndarray]:
+    """The moments of :func:`moment_table` as matrices on the driver, for as many columns as it is to invert; NaN where undefined."""
+    p = len(columns)
+    table, centre = moment_table(df, columns)
+    pdf = table.toPandas()
+    out = {"mean": np.array(centre, dtype=float)}
+    for k in ("n", "cov", "corr"):
+        out[k] = np.full((p, p), np.nan)
+        out[k][pdf["i"], pdf["j"]] = out[k][pdf["j"], pdf["i"]] = pdf[k].astype(float)
+    return out
 
 
 def covariance_model(df: DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -211,14 +262,20 @@ def correlation_table(df: DataFrame, columns: Sequence[str], squares: bool = Tru
 
 
 def independent_features(df: DataFrame, columns: Sequence[str], limit: float = 0.92) -> list[str]:
-    """Features kept in order when r2 with every kept feature, and with its square, stays below a limit."""
-    r = correlation_table(df, columns)
-    kept: list[str] = []
-    for c in columns:
-        clash = any(max(r[c, k] ** 2, r[c, f"{k}^2"] ** 2, r[f"{c}^2", k] ** 2) >= limit for k in kept)
-        if not clash:
-            kept.append(c)
-    return kept
+    """Features kept in order when r2 with every kept feature, and with its square, stays below a limit.
+
+    The pairs at or above the limit stay a table, and the choice runs over it in
+    rounds; the driver gets the names of the features that are kept. Nothing
+    is said of columns that do not vary, which are kept.
+    """
+    p = len(columns)
+    numbers = [F.col(c).cast("double") for c in columns]
+    table, _ = moment_table(df, [*numbers, *[F.pow(x, F.lit(2.0)) for x in numbers]])
+    one, two = F.col("i") % p, F.col("j") % p
+    close = table.filter((one != two) & (F.col("i") < p) & (F.pow("corr", F.lit(2.0)) >= limit))
+    features = df.sparkSession.range(p).select(F.col("id").cast("int").alias("feature"))
+    kept = kept_in_order(close.select(one.alias("feature"), two.alias("_other")), features, "feature", [])
+    return [columns[r.feature] for r in kept.orderBy("feature").collect()]
 
 
 def label_clusters(df: DataFrame, cluster: str, by: str, words: Sequence[str]) -> DataFrame:

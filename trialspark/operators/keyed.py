@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trialspark.session import cut_lineage
+from trialspark.session import cut_lineage, release
 
 
 def _order(columns: Sequence[str | Column]) -> list[Column]:
@@ -99,6 +99,38 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: st
     return out.withColumn(name, F.col("_before") + F.col("_rn")).drop("_block", "_rn", "_before")
 
 
+def kept_in_order(clashes: DataFrame, items: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
+    """Items kept one after another when they clash with no item kept before; equals under ``order`` go by key.
+
+    ``clashes`` pairs ``key`` with ``_other`` in either direction. In each round,
+    items without an undecided earlier neighbour are settled: kept unless a kept
+    earlier neighbour exists. This gives the same set as going through them one by
+    one. The first undecided item is settled in every round, so rounds end;
+    there are as many as the longest chain of waiting items.
+    """
+    position = items.select(key, F.struct(*order, F.col(key)).alias("_at"))
+    both = clashes.select(key, "_other").unionByName(clashes.select(F.col("_other").alias(key), F.col(key).alias("_other"))).distinct()
+    earlier = cut_lineage(
+        both.join(position, key)
+        .join(position.select(F.col(key).alias("_other"), F.col("_at").alias("_their")), "_other")
+        .filter(F.col("_their") < F.col("_at"))
+        .select(key, "_other")
+    )
+    state = cut_lineage(position.select(key, F.lit(None).cast("boolean").alias("kept")))
+    while True:
+        theirs = earlier.join(state.select(F.col(key).alias("_other"), F.col("kept").alias("_k")), "_other")
+        view = theirs.groupBy(key).agg(F.bool_or(F.coalesce("_k", F.lit(False))).alias("_blocked"), F.bool_or(F.col("_k").isNull()).alias("_open"))
+        joined = state.join(view, key, "left")
+        blocked, waiting = F.coalesce("_blocked", F.lit(False)), F.coalesce("_open", F.lit(False))
+        settled = F.when(F.col("kept").isNotNull(), F.col("kept")).when(blocked, F.lit(False)).when(~waiting, F.lit(True))
+        after = cut_lineage(joined.select(key, settled.alias("kept")))
+        release(state)
+        state = after
+        if state.filter(F.col("kept").isNull()).isEmpty():
+            release(earlier)
+            return items.join(state.filter("kept").select(key), key, "left_semi")
+
+
 def with_group_values(df: DataFrame, keys: Sequence[str], **values: Column) -> DataFrame:
     """Attach aggregates of the row's group; values are aggregate expressions."""
     if not keys:

@@ -156,7 +156,7 @@ def recommended_acres(t: Tables) -> DataFrame:
 @plan("A20", """
 SELECT p_brand, list_aggregate(list_sort(list_distinct(list(p_type))), 'string_agg', ',') AS kinds FROM part GROUP BY p_brand""")
 def unique_text_lists(t: Tables) -> DataFrame:
-    return t.part.groupBy("p_brand").agg(A.unique_strings("p_type").alias("kinds"))
+    return A.unique_texts(t.part, ["p_brand"], {"p_type": "kinds"})
 
 
 @plan("A21", """

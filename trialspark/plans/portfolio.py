@@ -296,6 +296,6 @@ def product_names(t: Tables) -> DataFrame:
     names = t.part.select("p_brand", "p_name", F.col("p_type").alias("synonym")).distinct()
     sales = t.part.select("p_brand", "p_name")
     joined = sales.distinct().join(names, ["p_brand", "p_name"], "left")
-    from trialspark.operators.aggregates import unique_strings
+    from trialspark.operators.aggregates import unique_texts
 
-    return joined.groupBy("p_brand").agg(unique_strings("p_name").alias("names"), unique_strings("synonym").alias("synonyms"))
+    return unique_texts(joined, ["p_brand"], {"p_name": "names", "synonym": "synonyms"})
