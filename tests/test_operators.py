@@ -520,3 +520,36 @@ def test_failed_and_interrupted_publishing_keeps_the_table(spark, tmp_path):
     (tmp_path / "t").rename(tmp_path / "_t.last-lost")
     IO.upsert_table(spark.createDataFrame([(2, "b")], "k int, v string"), path, ["k"])
     assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "a"), (2, "b")]
+
+
+def test_co_occurrence_meets_in_blocks_and_never_lists_trials_per_pair(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [("g", t, int(e), float(e + rng.normal()) if rng.random() > 0.1 else None, bool(e % 4 == 0 if e % 8 else t % 2 == 0), ["x", "y", None][int(rng.integers(3))])
+            for t in range(12) for e in rng.permutation(40)[:25] for _ in range(2)]
+    rows += [("g", 3, 0, float("nan"), True, "x"), ("g", 4, 4, float("inf"), True, "y"), (None, 1, 1, 1.0, True, "x"), ("g", None, 4, 1.0, True, "x"), ("g", 1, None, 1.0, True, "x")]
+    monkeypatch.setattr(HH, "PAIR_TILE", 8)
+    df = spark.createDataFrame(rows, "g string, t long, e long, v double, c boolean, b string")
+    pdf = pd.DataFrame(rows, columns=["g", "t", "e", "v", "c", "b"]).dropna(subset=["g", "t", "e"])
+    grown = pdf.groupby(["t", "e"]).c.any()
+    for breakout in ([], ["b"]):
+        made = HH.co_occurrence(df, ["g"], "t", "e", "v", "c", breakout)
+        plan = made._jdf.queryExecution().toString()
+        assert "FlatMapCoGroupsInArrow" in plan and "sum(_n" not in plan
+        got = {tuple(r[k] for k in (*breakout, "e", "check_e")): r for r in made.collect()}
+        want = 0
+        for b in ([None] if not breakout else ["x", "y"]):
+            for e in sorted(pdf.e.unique()):
+                for c in sorted(pdf.e.unique()):
+                    with_check = {t for (t, k), f in grown.items() if k == c and f}
+                    with_entry = {t for (t, k) in grown.index if k == e}
+                    own = [r[3] for r in rows if r[0] and r[1] in with_check and r[2] == e and r[3] is not None and (b is None or r[5] == b)]
+                    other = [r[3] for r in rows if r[0] and r[1] in with_entry & with_check and r[2] == c and r[3] is not None and (b is None or r[5] == b)]
+                    if len(own) > 2 and len(other) > 2:
+                        want += 1
+                        r = got[(e, c) if b is None else (b, e, c)]
+                        assert (r["count"], r["check_count"]) == (len(own), len(other))
+                        with np.errstate(invalid="ignore"):
+                            for x, side in ((own, ""), (other, "check_")):
+                                assert np.isclose(r[side + "prediction"], np.mean(x), equal_nan=True)
+                                assert np.isclose(r[side + "stddev"], np.std(x, ddof=1), equal_nan=True)
+        assert want == len(got) > 50
