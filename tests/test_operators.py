@@ -553,3 +553,13 @@ def test_co_occurrence_meets_in_blocks_and_never_lists_trials_per_pair(spark, mo
                                 assert np.isclose(r[side + "prediction"], np.mean(x), equal_nan=True)
                                 assert np.isclose(r[side + "stddev"], np.std(x, ddof=1), equal_nan=True)
         assert want == len(got) > 50
+
+
+def test_points_between_pairs_of_one_group_are_listed_by_field(spark):
+    scores = spark.createDataFrame([("l", f, e, float(x), 1.0) for f, e, x in [(1, 1, 5), (1, 2, 3), (1, 3, 9), (2, 1, 1), (2, 2, 4), (3, 4, 7)]], "g string, _field int, e int, _x double, _w double")
+    nation = spark.createDataFrame([(1, 7), (2, 7), (3, 8), (4, 7), (5, None)], "e int, nation int")
+    out = R.pair_points(scores, ["g"], "e", nation, "nation")
+    listed = nation.join(nation.withColumnRenamed("e", "other"), "nation").filter("e <> other").withColumn("g", F.lit("l")).drop("nation")
+    want = R.pair_points(scores, ["g"], "e", listed)
+    rows = sorted(map(tuple, out.select(want.columns).collect()))
+    assert rows == sorted(map(tuple, want.collect())) == [("l", 1, 2, 2.0, 3.0, 2.0), ("l", 2, 1, 3.0, 2.0, 2.0)]
