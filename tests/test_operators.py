@@ -563,3 +563,17 @@ def test_points_between_pairs_of_one_group_are_listed_by_field(spark):
     want = R.pair_points(scores, ["g"], "e", listed)
     rows = sorted(map(tuple, out.select(want.columns).collect()))
     assert rows == sorted(map(tuple, want.collect())) == [("l", 1, 2, 2.0, 3.0, 2.0), ("l", 2, 1, 3.0, 2.0, 2.0)]
+
+
+def test_either_key_pairs_arise_once_without_a_distinct_over_all(spark):
+    left = spark.createDataFrame([(1, 5, 1), (2, 5, 9), (3, None, 8), (4, 6, None), (4, 5, 8), (None, 5, 7), (2, 5, 9)], "i int, a int, b int")
+    right = spark.createDataFrame([(1, 5), (8, 5), (8, 6), (9, 7), (None, 5), (7, None), (1, 5)], "j int, c int")
+    keyed = right.withColumn("d", F.col("j"))
+    got = sorted(map(tuple, L.either_key_join(left, keyed, [("a", "c"), ("b", "d")], ["i"], ["j"]).collect()), key=str)
+    want = left.join(keyed, (left.a == keyed.c) | (left.b == keyed.d)).select("i", "j").distinct()
+    assert got == sorted(map(tuple, want.collect()), key=str) and len(got) > 9
+    single = spark.range(40).selectExpr("id as i", "id % 2 as a", "id as b")
+    other = spark.range(30).selectExpr("id as j", "id % 2 as c", "id as d")
+    out = L.either_key_join(single, other, [("a", "c"), ("b", "d")], ["i"], ["j"])
+    assert out.count() == out.distinct().count() == 600
+    assert out._jdf.queryExecution().optimizedPlan().toString().startswith("Union")

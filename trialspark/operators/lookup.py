@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trialspark.operators.keyed import null_safe_join, salted_join, top_per_key
+from trialspark.operators.keyed import null_safe_join, salted_join, top_per_key, with_group_values
 from trialspark.session import cut_lineage
 
 
@@ -86,14 +86,34 @@ def synonym_join(left: DataFrame, right: DataFrame, on: Sequence[str], column: s
 def either_key_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], left_id: Sequence[str], right_id: Sequence[str]) -> DataFrame:
     """Pairs of rows matching on any of several key pairs, each pair once.
 
-    One hash join per key pair and a distinct over the row ids, in place of a
-    disjunctive condition that can only run as a nested loop.
+    One hash join per key pair, in place of a disjunctive condition that can
+    only run as a nested loop. A join leaves out the pairs that an earlier key
+    pair matches, so pairs of ids with one row each arise once and need no
+    distinct; only pairs with an id of several rows go through one. The right
+    rows of a hot key are spread, and the left ones repeated.
     """
-    out = None
-    for l, r in pairs:
-        part = left.join(right, left[l] == right[r]).select(*[left[c] for c in left_id], *[right[c] for c in right_id])
-        out = part if out is None else out.union(part)
-    return out.distinct()
+    ids = [f"_l{i}" for i in range(len(left_id))], [f"_r{i}" for i in range(len(right_id))]
+    keys = [f"_lk{i}" for i in range(len(pairs))], [f"_rk{i}" for i in range(len(pairs))]
+
+    def rows(side: DataFrame, own: int, id_columns: Sequence[str]) -> DataFrame:
+        named = [side[c].alias(n) for c, n in zip(id_columns, ids[own])] + [side[p[own]].alias(n) for p, n in zip(pairs, keys[own])]
+        return with_group_values(side.select(*named).distinct(), ids[own], **{f"_n{own}": F.count(F.lit(1))})
+
+    l, r = rows(left, 0, left_id), rows(right, 1, right_id)
+
+    def matches(ours: DataFrame, theirs: DataFrame) -> DataFrame:
+        out = None
+        for i in range(len(pairs)):
+            part = salted_join(theirs.withColumn("_on", F.col(keys[1][i])), ours.withColumn("_on", F.col(keys[0][i])), ["_on"], ids[1], key_rows=2_000)
+            for j in range(i):
+                part = part.filter(~F.coalesce(F.col(keys[0][j]) == F.col(keys[1][j]), F.lit(False)))
+            part = part.select(*ids[0], *ids[1])
+            out = part if out is None else out.union(part)
+        return out
+
+    once = matches(l.filter("_n0 = 1"), r.filter("_n1 = 1"))
+    repeated = matches(l.filter("_n0 > 1"), r).union(matches(l.filter("_n0 = 1"), r.filter("_n1 > 1"))).distinct()
+    return once.union(repeated).toDF(*left_id, *right_id)
 
 
 def listed_in(df: DataFrame, codes: DataFrame, list_col: str, code_col: str, separator: str = ",") -> DataFrame:
