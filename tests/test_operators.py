@@ -577,3 +577,8 @@ def test_either_key_pairs_arise_once_without_a_distinct_over_all(spark):
     out = L.either_key_join(single, other, [("a", "c"), ("b", "d")], ["i"], ["j"])
     assert out.count() == out.distinct().count() == 600
     assert out._jdf.queryExecution().optimizedPlan().toString().startswith("Union")
+
+
+def test_similarity_tiles_are_as_wide_as_their_panel():
+    pdf = pd.DataFrame({"s": [1, 2], "_places": [[0, 2], [1]], "_codes": [[1, 4], [3]]})
+    assert GT._dense(pdf, pd.Index([1, 2]), "s", 3).tolist() == [[1, 0, 4], [0, 3, 0]]
