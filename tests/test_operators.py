@@ -582,3 +582,12 @@ def test_either_key_pairs_arise_once_without_a_distinct_over_all(spark):
 def test_similarity_tiles_are_as_wide_as_their_panel():
     pdf = pd.DataFrame({"s": [1, 2], "_places": [[0, 2], [1]], "_codes": [[1, 4], [3]]})
     assert GT._dense(pdf, pd.Index([1, 2]), "s", 3).tolist() == [[1, 0, 4], [0, 3, 0]]
+
+
+def test_products_are_compared_after_one_deal_of_the_pairs(spark):
+    cells = spark.createDataFrame([(p, "ab"[p % 2], e, float(p * 7 % 5 + e), 1.0 + p % 3) for p in range(6) for e in range(4)], "place int, region string, e int, y double, acres double")
+    out = P.compare_with_products(cells, spark.createDataFrame([(1,), (3,)], "e int"), ["place"], "region", "e", "y", "acres")
+    deals = [x for x in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning(e#" in x and "e_product" in x]
+    assert len(deals) == 1 and "region" not in deals[0]
+    got = {(r["e"], r["e_product"], r["region"]): (r["acres"], r["win_share"]) for r in out.collect()}
+    assert len(got) == 18 and got[(2, 1, "all")] == (12.0, 1.0) and got[(0, 3, "a")] == (6.0, 0.0)
