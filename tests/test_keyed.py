@@ -43,6 +43,17 @@ def test_salted_join_equals_join(skewed, spark):
     assert K.salted_join(df, small, ["k"], ["x"], key_rows=3).count() == df.join(small, "k").count()
 
 
+def test_joins_with_many_pairs_are_dealt_out_by_pairs(spark):
+    big = spark.createDataFrame([(k, x) for k in (1, 2, None) for x in range(300 if k == 1 else 3)], "k int, x int")
+    small = spark.createDataFrame([(k, y) for k in (1, 3, None) for y in range(50)], "k int, y int")
+    for how in ("inner", "left"):
+        out = K.paired_join(big, small, ["k"], ["x"], how, pairs_at_once=1000)
+        assert sorted(out.collect(), key=str) == sorted(big.join(small, "k", how).collect(), key=str)
+        sizes = sorted(out.rdd.glom().map(len).collect())
+        assert len(sizes) == 16 and sizes[-1] <= 6000 and out.count() >= 15_000
+    assert K.paired_join(big.filter("k = 5"), small, ["k"], ["x"]).count() == 0
+
+
 def test_top_per_key_limits_before_the_shuffle(skewed):
     df, _ = skewed
     out = K.top_per_key(df, ["k"], ["-x", "w"], 2, rank_col="r")

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trialspark.operators.keyed import null_safe_join, salted_join, top_per_key, with_group_values
+from trialspark.operators.keyed import null_safe_join, paired_join, salted_join, top_per_key, with_group_values
 from trialspark.session import cut_lineage
 
 
@@ -127,12 +127,13 @@ def range_candidates(left: DataFrame, right: DataFrame, equal: Sequence[str], le
 
     Values are cut into strips as wide as the threshold. A left row can only
     meet rows of its own strip and the two next to it, so it is copied to those
-    three and the join becomes an equi-join; strips with many rows are split.
+    three and the join becomes an equi-join; strips with many pairs are split, and
+    pairs are dealt out by their number.
     """
     strip = F.floor(F.col(left_value) / within)
-    l = left.withColumn("_strip", F.explode(F.array(strip - 1, strip, strip + 1)))
-    r = right.withColumn("_strip", F.floor(F.col(right_value) / within))
-    joined = salted_join(l, r, [*equal, "_strip"], left.columns).drop("_strip")
+    l = cut_lineage(left.withColumn("_strip", F.explode(F.array(strip - 1, strip, strip + 1))))
+    r = cut_lineage(right.withColumn("_strip", F.floor(F.col(right_value) / within)))
+    joined = paired_join(l, r, [*equal, "_strip"], left.columns).drop("_strip")
     return joined.filter(F.abs(F.col(left_value) - F.col(right_value)) <= within)
 
 
