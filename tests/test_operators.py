@@ -53,6 +53,22 @@ def test_range_candidates_match_brute_force(spark):
     assert got == {(i, j) for i, j in itertools.product(range(80), range(90)) if abs(a[i] - b[j]) <= 1.5}
 
 
+def test_replacement_candidates_need_a_distinct_only_for_repeated_keys(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, [None, "x", "y"][rng.integers(3)], None if rng.random() < 0.1 else float(rng.integers(40)), None if rng.random() < 0.5 else float(rng.integers(40))) for i in range(120)]
+    for extra in ([], rows[:20], [(i, "x", float(i), 1.0) for i in range(0, 120, 7)] + [(None, None, 5.0, 5.0)] * 2):
+        every = rows + extra
+        sold = [r for r in every if (r[2] or 0) > 20]
+        a, b = (spark.createDataFrame(x, "k int, tech string, rm double, erm double") for x in (every, sold))
+        near = lambda p, q, limit: p is not None and q is not None and abs(p - q) < limit
+        want = {(p[0], q[0]) for p in every for q in sold if (p[1] is None or q[1] is None or p[1] == q[1]) and (near(p[2], q[2], 3) or near(p[3], q[3], 2))}
+        out = P.replacement_candidates(a, b, "k", "tech", {"rm": 3.0, "erm": 2.0})
+        got = [(r.k, r.k_product) for r in out.collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert ("Aggregate [k" in plan) == bool(set(every[120:]) - set(rows)), plan
+
+
 # --- aggregates -----------------------------------------------------------------
 
 def test_percentiles_are_numpys(spark):
