@@ -45,6 +45,35 @@ def test_nearest_matches_brute_force(spark):
         assert got[got.q == q].sort_values("rank").p.tolist() == np.lexsort((pts.p, d[q]))[:4].tolist()
 
 
+def test_screened_pairs_hold_all_nearest_rows_and_few_others():
+    rng = np.random.default_rng(21)
+    a, b = rng.normal(0, 1, (70, 24)), rng.normal(0, 1, (3000, 24))
+    b[1000:1040] = b[7]  # ties
+    a[:3] = b[[7, 8, 1001]]
+    for x, y, few in ((a, b, 40), (a + 1e4, b + 1e4, 40), (a * 1e12, b * 1e12, 40), (a * 1e17, b * 1e17, 3000), (a, np.ones((3000, 24)), 3000), (a * 1e-30, b * 1e-30, 3000)):
+        rows, cols = (np.concatenate(part) for part in zip(*L.close_pairs(x, y, 3)))
+        d = L.euclidean(x, y)
+        assert np.array_equal(L.euclidean_pairs(x, y, rows, cols), d[rows, cols])
+        stays = np.zeros(d.shape, dtype=bool)
+        stays[rows, cols] = True
+        assert stays[d <= np.partition(d, 2, axis=1)[:, 2:3]].all() and len(rows) <= few * len(x)
+
+
+def test_nearest_arrays_match_brute_force_with_ties(spark):
+    rng = np.random.default_rng(22)
+    x = rng.normal(0, 1, (900, 12))
+    x[300:340] = x[5]
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in enumerate(x)] + [(900, None), (901, [float("nan")] * 12)], "i long, e array<double>")
+    for rows in (None, 400):
+        got = L.nearest(df, df.withColumnRenamed("i", "q"), "i", "q", "e", 3, L.euclidean, **({"block_rows": rows} if rows else {})).toPandas()
+        d = L.euclidean(x, x)
+        assert len(got) == 2700
+        own = got.sort_values(["q", "rank"])
+        best = np.stack([np.lexsort((np.arange(900), r))[:3] for r in d])
+        assert own.i.to_numpy().reshape(900, 3).tolist() == best.tolist()
+        assert own.distance.to_numpy().tolist() == np.take_along_axis(d, best, axis=1).ravel().tolist()
+
+
 def test_range_candidates_match_brute_force(spark):
     rng = np.random.default_rng(4)
     a, b = rng.uniform(-20, 20, 80).round(2), rng.uniform(-20, 20, 90).round(2)
