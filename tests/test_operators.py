@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trialspark.functions import scoring as S
 from trialspark.operators import aggregates as A
+from trialspark.operators import attribution as T
 from trialspark.operators import bins as B
 from trialspark.operators import boosting as Q
 from trialspark.operators import components as C
@@ -207,6 +208,15 @@ def test_huber_fits_are_stationary_points(spark):
             assert np.minimum(r**2, M.EPSILON**2).sum() == pytest.approx(len(r), rel=1e-6)
 
 
+def test_few_groups_are_not_gathered_in_a_task_each(spark):
+    big = spark.range(2_000_000).select("id", (F.col("id") % 2).alias("g"), (F.col("id") % 7).cast("double").alias("v"), F.when(F.col("id") % 3 > 0, F.col("id") % 5).alias("s"))
+    told = T.explain(big, ["id"], {"v": "s"}, ["g"], 1)
+    for out in (told,):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    assert {r.id: r.explanation for r in told.filter("id IN (0, 1, 3, 6)").collect()} == {0: "", 1: "v: low", 3: "", 6: ""}
+
+
 def test_robust_adjustment_marks_outliers(spark):
     pdf = _curved(400)
     got = M.adjust_robust(spark.createDataFrame(pdf), ["g"], "x", "y").toPandas()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trialspark.operators.aggregates import percentiles, unpivot
 from trialspark.operators.keyed import null_safe_join, top_per_key, with_group_values
+from trialspark.session import cut_lineage
 
 # Quantiles reported, and the cuts and words of the five-step wording.
 QUANTILES = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95}
@@ -91,12 +92,17 @@ def explain(df: DataFrame, ids: Sequence[str], features: dict[str, str], group:
     ``features`` maps a value column to its attribution column. Values are put
     on the scale of their group; a missing value reads "missing". The strongest
     attribution comes first, ties by feature name. Each row keeps its own
-    features together, so no shuffle follows the group statistics.
+    features together, so no shuffle follows the group statistics. These are
+    written first: with few groups they are broadcast, and no task gets all rows of one.
     """
     stats = {}
     for i, c in enumerate(features):
         stats |= {f"_m{i}": F.avg(c), f"_s{i}": F.stddev_pop(c)}
-    scaled = with_group_values(df, group, **stats)
+    if group:
+        totals = cut_lineage(df.groupBy(*group).agg(*[v.alias(k) for k, v in stats.items()]))
+        scaled = null_safe_join(df, totals, group, "left")
+    else:
+        scaled = with_group_values(df, group, **stats)
     words = words or {}
     parts = []
     for i, (c, shap) in enumerate(features.items()):
