@@ -703,3 +703,34 @@ def test_products_are_compared_after_one_deal_of_the_pairs(spark):
     assert len(deals) == 1 and "region" not in deals[0]
     got = {(r["e"], r["e_product"], r["region"]): (r["acres"], r["win_share"]) for r in out.collect()}
     assert len(got) == 18 and got[(2, 1, "all")] == (12.0, 1.0) and got[(0, 3, "a")] == (6.0, 0.0)
+
+
+def test_keener_keeps_every_pair_once_however_fields_and_blocks_are_cut(spark, monkeypatch):
+    rng = np.random.default_rng(31)
+    rows = [(l, f, e, float(rng.integers(9)), 1.0 + e % 2) for l in range(2) for f in range(6) for e in range(12) if rng.random() < 0.7]
+    df = spark.createDataFrame([*rows, (0, 1, None, 4.0, 1.0)], "league int, f int, e int, s double, w double")
+    scores = R.field_scores(df, ["league"], ["f"], "e", "s", weight="w")
+    want = {(r.league, r.e): r.rating for r in R.keener(scores, ["league"], "e").collect()}
+    monkeypatch.setattr(R, "FIELD_CHUNK", 3)
+    monkeypatch.setattr(R, "PAIRS_IN_BLOCK", 20)
+    entries = scores.select("league", "e").distinct().withColumn("_e", F.col("league") * 100 + F.coalesce("e", F.lit(50)).cast("long"))
+    shares, buckets = R._met_shares(scores, ["league"], "e", entries)
+    pairs = [tuple(sorted((r._i, r._j))) for r in shares.collect()]
+    shares.unpersist()
+    assert buckets > 2 and len(pairs) == len(set(pairs)) > 60 and not any(50 in (a % 100, b % 100) for a, b in pairs)
+    got = {(r.league, r.e): r.rating for r in R.keener(scores, ["league"], "e").collect()}
+    assert got == pytest.approx(want, abs=1e-9) and len(got) == len(want) > 20
+    ids = sorted({e for l, _, e, _, _ in rows if l == 1})
+    s = np.zeros((len(ids), len(ids)))
+    for (l, f), field in itertools.groupby(rows, key=lambda r: r[:2]):
+        for a, b in itertools.permutations(list(field) if l == 1 else [], 2):
+            gap = a[4] * (a[3] - b[3])
+            s[ids.index(a[2]), ids.index(b[2])] += gap
+    size = np.zeros_like(s)
+    for (l, f), field in itertools.groupby(rows, key=lambda r: r[:2]):
+        for a, b in itertools.permutations(list(field) if l == 1 else [], 2):
+            size[ids.index(a[2]), ids.index(b[2])] += abs(a[4] * (a[3] - b[3]))
+    m = 0.5 + s / (2 * (size + 2))
+    value, vector = np.linalg.eig(m)
+    lead = np.abs(vector[:, np.argmax(value.real)].real)
+    assert [got[1, e] for e in ids] == pytest.approx(list(lead / lead.sum()), abs=1e-9)
