@@ -13,6 +13,7 @@ from trialspark.operators import attribution as T
 from trialspark.operators import bins as B
 from trialspark.operators import boosting as Q
 from trialspark.operators import components as C
+from trialspark.operators import evaluation as EV
 from trialspark.operators import fits as M
 from trialspark.operators import flags as G
 from trialspark.operators import genotype as GT
@@ -734,3 +735,20 @@ def test_keener_keeps_every_pair_once_however_fields_and_blocks_are_cut(spark, m
     value, vector = np.linalg.eig(m)
     lead = np.abs(vector[:, np.argmax(value.real)].real)
     assert [got[1, e] for e in ids] == pytest.approx(list(lead / lead.sum()), abs=1e-9)
+
+
+def test_metrics_of_random_scores_come_from_one_curve(spark, monkeypatch):
+    from trialspark.operators import keyed
+
+    rows = [(["a", "b", None][i % 3], i, None if i % 11 == 0 else i % 4 == 0 or i % 3 == 1) for i in range(90)]
+    df = spark.createDataFrame(rows, "g string, i long, y boolean")
+    scored = df.withColumn("s", (F.col("i") * 7 % 13).cast("double"))
+    want = {r.g: r[1:] for r in EV.null_safe_join(EV.area_under_precision_recall(scored, ["g"], "s", "y"), EV.balanced_accuracy(scored, ["g"], "s", "y"), ["g"]).collect()}
+    got = {r.g: r[1:] for r in EV._ranking_metrics(scored, ["g"], "s", "y").collect()}
+    assert got.keys() == want.keys() and len(got) == 3
+    for g in got:
+        assert [None if v is None else round(v, 12) for v in got[g]] == [None if v is None else round(v, 12) for v in want[g]]
+    steps = []
+    monkeypatch.setattr(keyed, "cut_lineage", lambda x, cut=keyed.cut_lineage: steps.append(x) or cut(x))
+    out = EV.shuffled_label_metrics(df, ["g"], ["i"], "y", repeats=3)
+    assert len(steps) == 1 and {r.n_repeats for r in out.collect()} == {3}

@@ -89,27 +89,35 @@ def cut_confusion(df: DataFrame, keys: Sequence[str], score: str, label: str) ->
     positives of which m fit contributes m * p / n true positives. Without ties
     on the cut the counts are whole.
     """
-    c = _curve(df, keys, score, label)
+    c = _curve(df, keys, score, label).groupBy(*keys).agg(*_cut_sums())
+    return c.select(*keys, *[v.alias(k) for k, v in _confusion().items()], "n")
+
+
+def _cut_sums() -> list[Column]:
     before = F.col("cum_n") - F.col("n")
     taken = F.greatest(F.lit(0), F.least(F.col("n"), F.col("all_pos") - before))
-    out = c.groupBy(*keys).agg(
+    return [
         F.sum(taken * F.col("pos") / F.col("n")).alias("TP"),
         F.sum(taken * (F.col("n") - F.col("pos")) / F.col("n")).alias("FP"),
         F.max("all_pos").alias("_p"),
         F.max("all_n").alias("n"),
-    )
-    return out.select(
-        *keys, "TP", "FP", (F.col("_p") - F.col("TP")).alias("FN"), (F.col("n") - F.col("_p") - F.col("FP")).alias("TN"), "n"
-    )
+    ]
+
+
+def _confusion() -> dict[str, Column]:
+    return {"TP": F.col("TP"), "FP": F.col("FP"), "FN": F.col("_p") - F.col("TP"), "TN": F.col("n") - F.col("_p") - F.col("FP")}
+
+
+def _mean_recall(m: dict[str, Column]) -> Column:
+    sensitivity = m["TP"] / F.nullif(m["TP"] + m["FN"], F.lit(0.0))
+    specificity = m["TN"] / F.nullif(m["TN"] + m["FP"], F.lit(0.0))
+    return (F.coalesce(sensitivity, specificity) + F.coalesce(specificity, sensitivity)) / 2
 
 
 def balanced_accuracy(df: DataFrame, keys: Sequence[str], score: str, label: str) -> DataFrame:
     """Mean of the two class recalls at the cut; a class that is absent does not count."""
     m = cut_confusion(df, keys, score, label)
-    sensitivity = F.col("TP") / F.nullif(F.col("TP") + F.col("FN"), F.lit(0.0))
-    specificity = F.col("TN") / F.nullif(F.col("TN") + F.col("FP"), F.lit(0.0))
-    both = (F.coalesce(sensitivity, specificity) + F.coalesce(specificity, sensitivity)) / 2
-    return m.select(*keys, both.alias("balanced_acc"))
+    return m.select(*keys, _mean_recall({c: F.col(c) for c in ("TP", "FP", "FN", "TN")}).alias("balanced_acc"))
 
 
 def bottom_shares(df: DataFrame, keys: Sequence[str], score: str, label: str, steps: Sequence[int] = tuple(range(90, 4, -5))) -> DataFrame:
@@ -205,10 +213,7 @@ def shuffled_label_metrics(df: DataFrame, keys: Sequence[str], unit: Sequence[st
     """Metrics of random scores: each repeat scores every row by a seeded hash."""
     copies = df.withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
     scored = copies.withColumn("_random", F.pmod(F.xxhash64(*unit, "repeat", F.lit(seed)), F.lit(1 << 40)).cast("double"))
-    groups = [*keys, "repeat"]
-    metrics = null_safe_join(
-        area_under_precision_recall(scored, groups, "_random", label), balanced_accuracy(scored, groups, "_random", label), groups
-    )
+    metrics = _ranking_metrics(scored, [*keys, "repeat"], "_random", label)
     return metrics.groupBy(*keys).agg(
         F.avg("auc_pr_adv").alias("auc_pr_adv"),
         F.avg("auc_pr_notadv").alias("auc_pr_notadv"),
@@ -217,6 +222,21 @@ def shuffled_label_metrics(df: DataFrame, keys: Sequence[str], unit: Sequence[st
     )
 
 
+def _ranking_metrics(df: DataFrame, keys: Sequence[str], score: str, label: str) -> DataFrame:
+    """Both precision-recall areas and the balanced accuracy from one curve: the other class and order are what is left of the totals."""
+    c = _curve(df, keys, score, label)
+    none = F.lit(0)
+    own = F.when(F.col("cum_n") == F.col("n"), F.lit(1.0)).otherwise((F.col("cum_pos") - F.col("pos")) / F.nullif(F.col("cum_n") - F.col("n"), none))
+    adv = F.sum(F.col("pos") / F.nullif("all_pos", none) * (F.col("cum_pos") / F.col("cum_n") + own) / 2)
+    # from the worst score upwards, negatives as hits
+    after_n, after_pos = F.col("all_n") - F.col("cum_n"), F.col("all_pos") - F.col("cum_pos")
+    neg, all_neg, after_neg = F.col("n") - F.col("pos"), F.col("all_n") - F.col("all_pos"), after_n - after_pos
+    start = F.when(after_n == 0, F.lit(1.0)).otherwise(after_neg / F.nullif(after_n, none))
+    notadv = F.sum(neg / F.nullif(all_neg, none) * ((after_neg + neg) / (after_n + F.col("n")) + start) / 2)
+    cells = c.groupBy(*keys).agg(adv.alias("auc_pr_adv"), notadv.alias("auc_pr_notadv"), *_cut_sums())
+    return cells.select(*keys, "auc_pr_adv", "auc_pr_notadv", _mean_recall(_confusion()).alias("balanced_acc"))
+
+
 def baseline_scores(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """Baselines beside a model score: rank, percentile in the group and z-normalised value."""
     ranks = group_ranks(df.filter(F.col(value).isNotNull()), group, value).select(*group, value, "rank_min")
