@@ -752,3 +752,11 @@ def test_metrics_of_random_scores_come_from_one_curve(spark, monkeypatch):
     monkeypatch.setattr(keyed, "cut_lineage", lambda x, cut=keyed.cut_lineage: steps.append(x) or cut(x))
     out = EV.shuffled_label_metrics(df, ["g"], ["i"], "y", repeats=3)
     assert len(steps) == 1 and {r.n_repeats for r in out.collect()} == {3}
+
+
+def test_massey_steps_join_their_vectors_without_the_driver(spark, played, monkeypatch):
+    plans = []
+    monkeypatch.setattr(R, "cut_lineage", lambda x, cut=R.cut_lineage: plans.append(x._jdf.queryExecution().executedPlan().toString()) or cut(x))
+    R.massey(played[1], ["league"], "entry")
+    steps = [p for p in plans if "image" in p and "_beta" in p or "_rr1" in p]
+    assert len(steps) > 2 and all("SortMergeJoin [_e" in p for p in steps)
