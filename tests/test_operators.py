@@ -1,6 +1,8 @@
 """Hand-made cases and brute-force comparisons."""
 
+import inspect
 import itertools
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -24,6 +26,7 @@ from trialspark.operators import lookup as L
 from trialspark.operators import portfolio as P
 from trialspark.operators import ratings as R
 from trialspark.operators import rollup as U
+from trialspark.plans import fits as fitted_plans
 from trialspark.sources import tables as IO
 
 
@@ -404,6 +407,23 @@ def test_boosted_quantiles_follow_the_spread_of_their_place(spark):
     assert Q.quantile_boosting(df.limit(0), ["x"], "y").count() == 0
 
 
+def test_the_boosted_regression_searches_the_whole_grid(spark, monkeypatch):
+    whole, asked = inspect.signature(M.regression_by_grid), {}
+    rows = SimpleNamespace(
+        lineitem=spark.createDataFrame([(1, 1, 2, 3, 4.0, 0.1, 5.0)], "l_orderkey long, l_linenumber int, l_suppkey long, l_partkey long, l_quantity double, l_discount double, l_extendedprice double"),
+        part=spark.createDataFrame([(3, 9)], "p_partkey long, p_size int"),
+    )
+
+    def regression(df, *args, **named):
+        asked.update(whole.bind(df, *args, **named).arguments)
+        return df.withColumns({c: F.lit(0.0) for c in ("prediction", "p10", "p50", "p90", "depth")})
+
+    monkeypatch.setattr(M, "regression_by_grid", regression)
+    assert fitted_plans.boosted_regression(rows).count() == 1
+    searched = {n: asked.get(n, p.default) for n, p in whole.parameters.items()}
+    assert len(searched["depths"]) > 1 and max(searched["depths"]) >= 5 and searched["rounds"] >= 10 and searched["folds"] >= 3
+
+
 def test_splits_send_missing_values_to_the_better_side():
     total, count = np.array([[-8.0, 5.0, -5.0, -5.0]]), np.array([[8.0, 10.0, 10.0, 10.0]])
     assert Q.best_split(total, count, 5) == (0, 0, False)
