@@ -2,6 +2,7 @@
 
 import inspect
 import itertools
+import time
 from types import SimpleNamespace
 
 import numpy as np
@@ -27,6 +28,7 @@ from trialspark.operators import portfolio as P
 from trialspark.operators import ratings as R
 from trialspark.operators import rollup as U
 from trialspark.plans import fits as fitted_plans
+from trialspark.session import SHUFFLE_CLEANUP, cut_lineage
 from trialspark.sources import tables as IO
 
 
@@ -688,6 +690,58 @@ def test_co_occurrence_meets_in_blocks_and_never_lists_trials_per_pair(spark, mo
         assert want == len(got) > 50
 
 
+def test_a_written_step_leaves_no_shuffle_files(spark):
+    files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles())}
+    before = {f for f in files() if f.startswith("shuffle_")}
+    conf = spark.conf.get(SHUFFLE_CLEANUP, None)
+    step = cut_lineage(spark.range(5000).withColumn("k", F.col("id") % 900).groupBy("k").count())
+    until = time.time() + 20
+    while (left := {f for f in files() if f.startswith("shuffle_")} - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left and step.count() == 900 and spark.conf.get(SHUFFLE_CLEANUP, None) == conf
+
+
+def test_few_pairs_of_many_entries_are_dealt_to_few_tasks(spark, monkeypatch):
+    monkeypatch.setattr(HH, "PAIR_TILE", 4)
+    rows = [("g", t, k, e, float(e + t), e < 8) for t in range(4) for k in "xy" for e in range(60)]
+    df = spark.createDataFrame(rows, "g string, t long, k string, e long, v double, c boolean")
+    apart = HH.co_occurrence(df, ["g", "k"], "t", "e", "v", "c")
+    # two groups: one pair of blocks each, so no cell travels twice
+    assert "hashpartitioning(g" in (plan := apart._jdf.queryExecution().executedPlan().toString()) and "_b1" in plan and ", 2), REPARTITION_BY_NUM" in plan
+    beside = HH.co_occurrence(df, ["g", "k"], "t", "e", "v", "c", together=["k"]).collect()
+    assert sorted(beside) == sorted(apart.collect()) and len(beside) == 2 * 60 * 8
+    assert [(r.e, r.check_e) for r in beside[::2]] == [(r.e, r.check_e) for r in beside[1::2]]
+
+
+def test_pairs_are_rolled_up_where_they_are(spark):
+    rng = np.random.default_rng(5)
+    some = lambda x, p=0.15: None if rng.random() < p else x
+    rows = [
+        ("d", some(e, 0.02), some(["", "c1", "c2"][c], 0.05), f"t{k}", ["performance", "risk", "h2h", "stability"][k % 4], some(int(k)), 3, some(float(k)), some(2.0), 5.0, some(1.0),
+         some(True), some(False), some(bool(k % 2)), some(float(rng.uniform(50, 200))), some(float(rng.normal())), some(float(rng.choice([0.0, -1.0, 40.0, 90.0]))), "m",
+         some([0.0, 0.5, 2.0, -1.0][int(rng.integers(4))]), some([0.0, 0.6, 0.3][int(rng.integers(3))]), some(int(rng.integers(2))), some(int(rng.integers(2))))
+        for e in range(40) for c in range(3) for k in range(6)
+    ]
+    names = "d string, e long, check_entry_id string, trait string, metric_name string, count long, check_count long, prediction double, check_prediction double, stddev double, check_stddev double"
+    names += ", cpifl boolean, chkfl boolean, check_chkfl boolean, pctchk double, statistic double, metric_value double, metric_method string, weight double, adv_weight double, incl_pctchk int, adv_incl_pctchk int"
+    rows.sort(key=lambda r: (str(r[1]), str(r[2])))
+    df = spark.createDataFrame(rows, names).coalesce(1)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)  # pairs lie across batches
+    try:
+        out = U.rollup_head_to_head(df, ["d", "e"], together=True)
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+        got = sorted(out.collect(), key=str)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    plain = U.rollup_head_to_head(df, ["d", "e"])
+    assert out.dtypes == plain.dtypes
+    want = sorted(plain.collect(), key=str)
+    assert len(got) == len(want) > 500
+    text = lambda r: tuple(f"{v:.9g}" if isinstance(v, float) else str(v) for v in r)
+    assert sorted(map(text, got)) == sorted(map(text, want))
+
+
 def test_points_between_pairs_of_one_group_are_listed_by_field(spark):
     scores = spark.createDataFrame([("l", f, e, float(x), 1.0) for f, e, x in [(1, 1, 5), (1, 2, 3), (1, 3, 9), (2, 1, 1), (2, 2, 4), (3, 4, 7)]], "g string, _field int, e int, _x double, _w double")
     nation = spark.createDataFrame([(1, 7), (2, 7), (3, 8), (4, 7), (5, None)], "e int, nation int")
