@@ -771,6 +771,54 @@ def test_similarity_tiles_are_as_wide_as_their_panel():
     assert GT._dense(pdf, pd.Index([1, 2]), "s", 3).tolist() == [[1, 0, 4], [0, 3, 0]]
 
 
+def test_similar_samples_meet_in_few_blocks_and_come_out_in_steps(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(None if s == 29 else s, v, int(rng.integers(1, 5))) for s in range(30) for v in range(40) if rng.random() < 0.6]
+    calls = spark.createDataFrame(rows, "s long, v long, c int")
+    monkeypatch.setattr(GT, "SAMPLES_AT_ONCE", 7)
+    one = {(s, v): c for s, v, c in rows}
+    kinds = [*range(29), None]
+
+    def share(a, b):
+        both = [v for v in range(40) if (a, v) in one and (b, v) in one]
+        return round(sum(one[a, v] == one[b, v] for v in both) / max(1, len(both)), 8)
+
+    for least in (None, 0.4):
+        out = GT.similarity(calls, calls.filter("s < 20 OR s IS NULL"), "s", "v", "c", least)
+        got = sorted(((r.s, r.bench_s, r.similarity) for r in out.collect()), key=str)
+        want = [(a, b, share(a, b)) for a in kinds for b in [*range(20), None]]
+        assert got == sorted((w for w in want if least is None or w[2] >= least), key=str) and len(got) > 20
+    monkeypatch.setattr(GT, "ENOUGH_TILES", 1)
+    plan = GT.similarity(calls, calls, "s", "v", "c")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(", 42), 1) as int) AS _b") == 2  # one block a side, of several steps
+
+
+def test_clashes_are_halved_before_they_are_made_distinct(spark, monkeypatch):
+    from trialspark.operators import keyed
+
+    written = []
+    monkeypatch.setattr(keyed, "cut_lineage", lambda df: written.append(df._jdf.queryExecution().optimizedPlan().toString()) or cut_lineage(df))
+    items = spark.createDataFrame([(i, i % 3) for i in range(30)], "k long, v int")
+    clashes = spark.createDataFrame([(i, j) for i in range(30) for j in range(30) if abs(i - j) == 4] * 2, "k long, _other long")
+    kept = {r.k for r in keyed.kept_in_order(clashes, items, "k", [F.col("v")]).collect()}
+    want = set()
+    for k in sorted(range(30), key=lambda i: (i % 3, i)):
+        if not {k - 4, k + 4} & want:
+            want.add(k)
+    assert kept == want
+    pairs = next(p for p in written if "Union" in p)
+    assert pairs.lstrip().startswith("Aggregate")  # distinct comes last
+
+
+def test_cells_are_made_once_for_the_comparison_with_products(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(P, "cut_lineage", lambda df: made.append(df.columns) or cut_lineage(df))
+    cells = spark.createDataFrame([(p, "r", e, float(e + p), 1.0 + e) for p in range(5) for e in range(4)], "p int, r string, e int, y double, a double")
+    out = P.compare_with_products(cells, spark.createDataFrame([(1,), (2,)], "e int"), ["p"], "r", "e", "y", "a")
+    assert made == [["p", "e", "r", "y", "a"]]
+    assert {(r.e, r.e_product, r.r, r.a, r.win_share) for r in out.collect()} == {(e, q, r, 5.0 * (1 + e), float(e > q)) for e in range(4) for q in (1, 2) if e != q for r in ("r", "all")}
+
+
 def test_products_are_compared_after_one_deal_of_the_pairs(spark):
     cells = spark.createDataFrame([(p, "ab"[p % 2], e, float(p * 7 % 5 + e), 1.0 + p % 3) for p in range(6) for e in range(4)], "place int, region string, e int, y double, acres double")
     out = P.compare_with_products(cells, spark.createDataFrame([(1,), (3,)], "e int"), ["place"], "region", "e", "y", "acres")
